@@ -64,7 +64,7 @@ def test_sliding_sees_neighbours_across_blocks(spark, size):
 def test_quantiles_match_pandas(spark, size, keys):
     df = table(spark)
     probs = [0.0, 0.25, 0.5, 0.9, 1.0]
-    got = quantiles(df, keys, "x", probs, chunk_rows=size).collect()
+    got = quantiles(df, keys, {"q": "x"}, probs, chunk_rows=size).collect()
     frame = df.toPandas()
     for row in got:
         part = frame
@@ -77,7 +77,7 @@ def test_quantiles_match_pandas(spark, size, keys):
 @pytest.mark.parametrize("size", [50, 10_000])
 def test_discrete_quantile(spark, size):
     df = table(spark)
-    got = {r.symbol: r.q[0] for r in quantiles(df, ["symbol"], "x", [0.5], discrete=True, chunk_rows=size).collect()}
+    got = {r.symbol: r.q[0] for r in quantiles(df, ["symbol"], {"q": "x"}, [0.5], discrete=True, chunk_rows=size).collect()}
     frame = df.toPandas()
     for symbol, value in got.items():
         part = frame[frame.symbol.isna()] if symbol is None else frame[frame.symbol == symbol]

@@ -1,6 +1,7 @@
 """tickwarden: anomaly detection and series statistics for market trades, on Spark DataFrames."""
 
+from tickwarden.operators.detectors import DETECTORS, detect
 from tickwarden.operators.scope import by_columns, rows, time_window, whole
 from tickwarden.operators.series import Series
 
-__all__ = ["Series", "by_columns", "rows", "time_window", "whole"]
+__all__ = ["DETECTORS", "Series", "by_columns", "detect", "rows", "time_window", "whole"]

@@ -7,37 +7,46 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickwarden.operators.series import Layout, Series, attach, plan_layout
+from tickwarden.operators.series import Layout, Series, attach, count_groups, plan_layout
 
 
 def quantiles(
     df: DataFrame,
     keys: Sequence[str],
-    column: str,
+    columns: dict[str, str],
     probs: Sequence[float],
-    name: str = "q",
     discrete: bool = False,
     chunk_rows: int | None = None,
+    known: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """(keys, `name`): an array with the quantile of `column` at each probability.
+    """(keys, one array per entry of `columns`): its quantile at each probability.
 
-    Linear interpolation by default; `discrete` takes the smallest value whose cumulative
-    share reaches the probability.  NULLs are ignored.
+    `columns` maps result names to source columns.  Linear interpolation by default;
+    `discrete` takes the smallest value whose cumulative share reaches the probability.
+    NULLs are ignored.  `known` is (rows, groups) if they were counted already.
     """
     keys = list(keys)
-    rows = df.select(*keys, F.col(column).cast("double").alias("_x")).filter("_x IS NOT NULL")
-    layout = plan_layout(rows, Series(tuple(keys), "_x", ()), chunk_rows)
-    if layout.single:
-        return rows.groupBy(*keys).agg(_direct(probs, discrete).alias(name))
-    return _by_rank(rows, keys, layout, probs, name, discrete)
+    rows = df.select(*keys, *[F.col(c).cast("double").alias(n) for n, c in columns.items()])
+    known = known or count_groups(rows, keys)
+    layouts = {}
+    for name in columns:
+        layouts[name] = plan_layout(rows, Series(tuple(keys), name, ()), chunk_rows, known)
+    if all(layout.single for layout in layouts.values()):
+        return rows.groupBy(*keys).agg(*[_direct(n, probs, discrete).alias(n) for n in columns])
+    result = None
+    for name, layout in layouts.items():
+        one = rows.select(*keys, F.col(name).alias("_x")).filter("_x IS NOT NULL")
+        found = _by_rank(one, keys, layout, probs, name, discrete)
+        result = found if result is None else layout.attach(result, found, keys)
+    return result
 
 
-def _direct(probs: Sequence[float], discrete: bool) -> Column:
+def _direct(column: str, probs: Sequence[float], discrete: bool) -> Column:
     if discrete:
         return F.array(
-            *[F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY _x)") for p in probs]
+            *[F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY {column})") for p in probs]
         )
-    return F.percentile("_x", [float(p) for p in probs])
+    return F.percentile(column, [float(p) for p in probs])
 
 
 def _ranks(p: float, discrete: bool) -> tuple[Column, Column, Column]:

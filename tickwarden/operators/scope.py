@@ -6,13 +6,20 @@ to partition or batch the rows.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickwarden import session
-from tickwarden.operators.series import Layout, Series, attach, plan_layout, with_position
+from tickwarden.operators.series import (
+    Layout,
+    Series,
+    attach,
+    count_groups,
+    plan_layout,
+    with_position,
+)
 
 
 @dataclass(frozen=True)
@@ -56,17 +63,26 @@ class Scoped:
     keys: tuple[str, ...]
     bounded: bool = False
     limit: int = 0
+    counted: tuple[int, int] | None = None
 
-    def group_count(self) -> int:
-        if not self.keys:
-            return 1
-        return self.df.agg(F.approx_count_distinct(F.struct(*self.keys))).first()[0]
+    @property
+    def inner(self) -> Series:
+        """The series within one scope."""
+        return Series(self.keys, self.series.time, self.series.ties)
 
-    def attach(self, summary: DataFrame) -> DataFrame:
+    def count(self) -> "Scoped":
+        """With (rows, scopes) filled in; later steps that keep the rows reuse it."""
+        return self if self.counted else replace(self, counted=count_groups(self.df, self.keys))
+
+    def attach(self, summary: DataFrame) -> "Scoped":
         """Join per-scope statistics back to the rows, broadcasting them if they are few."""
         spark = self.df.sparkSession
         small = session.int_conf(spark, session.BROADCAST_ROWS, session.DEFAULT_BROADCAST_ROWS)
-        return attach(self.df, summary, self.keys, self.group_count(), small)
+        known = self.count()
+        return replace(known, df=attach(self.df, summary, self.keys, known.counted[1], small))
+
+    def with_columns(self, columns: dict[str, Column]) -> "Scoped":
+        return replace(self, df=self.df.withColumns(columns))
 
 
 def batch_numbers(

@@ -143,18 +143,29 @@ class Layout:
         return attach(df, summary, keys, rows, self.broadcast_rows)
 
 
-def plan_layout(df: DataFrame, series: Series, chunk_rows: int | None = None) -> Layout:
-    """One pass over the key columns, and one over the time column when it is needed."""
+def count_groups(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """(rows, about how many distinct keys), from one pass over the key columns."""
+    groups = F.approx_count_distinct(F.struct(*keys)) if keys else F.lit(1)
+    counted = df.agg(F.count(F.lit(1)).alias("rows"), groups.alias("groups")).first()
+    return counted["rows"], max(1, counted["groups"])
+
+
+def plan_layout(
+    df: DataFrame,
+    series: Series,
+    chunk_rows: int | None = None,
+    known: tuple[int, int] | None = None,
+) -> Layout:
+    """One pass over the key columns (unless `known` has its result), and one over the time
+    column when the table does not fit one task."""
     spark = df.sparkSession
     size = chunk_rows or session.int_conf(spark, session.CHUNK_ROWS, session.DEFAULT_CHUNK_ROWS)
     small = session.int_conf(spark, session.BROADCAST_ROWS, session.DEFAULT_BROADCAST_ROWS)
-    groups = F.approx_count_distinct(F.struct(*series.keys)) if series.keys else F.lit(1)
-    counted = df.agg(F.count(F.lit(1)).alias("rows"), groups.alias("groups")).first()
-    facts = dict(series=series, rows=counted["rows"], groups=max(1, counted["groups"]),
-                 chunk_rows=size, broadcast_rows=small)
-    if counted["rows"] <= size:
+    rows, groups = known or count_groups(df, series.keys)
+    facts = dict(series=series, rows=rows, groups=groups, chunk_rows=size, broadcast_rows=small)
+    if rows <= size:
         return Layout(**facts)
-    parts = min(MAX_CHUNKS, math.ceil(counted["rows"] / size))
+    parts = min(MAX_CHUNKS, math.ceil(rows / size))
     points = [i / parts for i in range(1, parts)]
     cuts = df.agg(
         F.percentile_approx(sort_key(df, series.time), points, 20 * parts).alias("cuts")
