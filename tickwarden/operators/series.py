@@ -216,6 +216,36 @@ def with_position(df: DataFrame, layout: Layout, name: str = "pos") -> DataFrame
     )
 
 
+def blocks(
+    df: DataFrame, layout: Layout, before: int, after: int, pos: str = "pos"
+) -> tuple[DataFrame, tuple[str, ...]]:
+    """Group rows by position into equal blocks that overlap by the rows a frame can reach.
+
+    Rows near a block's edge are copied to the neighbour, so each block can be worked on
+    alone; originals are those with `_home` = `_block`.  Adds the position column if it is
+    missing.  Returns the copies and their grouping keys.
+    """
+    placed = df if pos in df.columns else with_position(df, layout, pos)
+    if layout.single:
+        return placed.withColumns({"_home": F.lit(0), "_block": F.lit(0)}), (
+            *layout.series.keys,
+            "_block",
+        )
+    size = max(layout.chunk_rows, before, after)
+    offset = F.col(pos) % size
+    targets = F.array_compact(
+        F.array(
+            F.col("_home"),
+            F.when((offset < after) & (F.col("_home") > 0), F.col("_home") - 1),
+            F.when(offset >= size - before, F.col("_home") + 1),
+        )
+    )
+    copied = placed.withColumn("_home", F.floor(F.col(pos) / size)).withColumn(
+        "_block", F.explode(targets)
+    )
+    return copied, (*layout.series.keys, "_block")
+
+
 def sliding(
     df: DataFrame,
     layout: Layout,
@@ -226,27 +256,14 @@ def sliding(
 ) -> DataFrame:
     """Run `add(df, window)` whose frames reach `before` rows back and `after` ahead.
 
-    In a large table rows are grouped by position into equal blocks, and rows near a
-    block's edge are copied to the neighbour, so each block can be windowed alone.
     `pos` names an existing position column.
     """
     if layout.single:
         order = [pos] if pos else list(layout.series.order)
         return add(df, Window.partitionBy(*layout.series.keys).orderBy(*order))
-    size = max(layout.chunk_rows, before, after)
     place = pos or "_pos"
-    placed = df if pos else with_position(df, layout, place)
-    home = F.floor(F.col(place) / size)
-    offset = F.col(place) % size
-    targets = F.array_compact(
-        F.array(
-            F.col("_home"),
-            F.when((offset < after) & (F.col("_home") > 0), F.col("_home") - 1),
-            F.when(offset >= size - before, F.col("_home") + 1),
-        )
-    )
-    copied = placed.withColumn("_home", home).withColumn("_block", F.explode(targets))
-    window = Window.partitionBy(*layout.series.keys, "_block").orderBy(place)
+    copied, keys = blocks(df, layout, before, after, place)
+    window = Window.partitionBy(*keys).orderBy(place)
     kept = add(copied, window).filter(F.col("_home") == F.col("_block"))
     return kept.drop("_home", "_block", *([] if pos else ["_pos"]))
 

@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from tickwarden.plans import detection  # noqa: F401
+from tickwarden.plans import detection, preparation  # noqa: F401
 from tickwarden.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
