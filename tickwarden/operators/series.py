@@ -143,6 +143,16 @@ class Layout:
         return attach(df, summary, keys, rows, self.broadcast_rows)
 
 
+def keyed(df: DataFrame, series: Series) -> tuple[DataFrame, Series, tuple[str, ...]]:
+    """A series without keys gets a constant one, for operators that must group by something.
+
+    Returns the table, the series and the helper columns to drop at the end.
+    """
+    if series.keys:
+        return df, series, ()
+    return df.withColumn("_all", F.lit(0)), Series(("_all",), series.time, series.ties), ("_all",)
+
+
 def count_groups(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
     """(rows, about how many distinct keys), from one pass over the key columns."""
     groups = F.approx_count_distinct(F.struct(*keys)) if keys else F.lit(1)

@@ -34,7 +34,7 @@ BARS_SQL = """bars AS (
          max(l_extendedprice) AS high, min(l_extendedprice) AS low,
          arg_min(l_extendedprice, (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice)) AS open,
          arg_max(l_extendedprice, (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice)) AS close,
-         sum(l_extendedprice) AS total
+         round(sum(l_extendedprice), 2) AS total
   FROM lineitem GROUP BY 1)"""
 
 HOURLY_SQL = (
@@ -100,14 +100,15 @@ def daily_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.min(price).alias("low"),
             F.min_by(price, "at").alias("open"),
             F.max_by(price, "at").alias("close"),
-            F.sum(price).alias("total"),
+            F.round(F.sum(price), 2).alias("total"),
         )
     )
 
 
 def daily_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
-        lines(spark, sf_dir).groupBy("day").agg(F.sum("l_extendedprice").alias("total"))
+        lines(spark, sf_dir).groupBy("day")
+        .agg(F.round(F.sum("l_extendedprice"), 2).alias("total"))  # cents; sums vary in the last bit
         .withColumn("name", F.lit("total"))
     )
 
