@@ -12,6 +12,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from tickwarden.operators.arima import arima
+from tickwarden.operators.iforest import iforest
+from tickwarden.operators.peaks import prominence
 from tickwarden.operators.quantiles import quantiles
 from tickwarden.operators.scope import Scope, Scoped, scoped, whole
 from tickwarden.operators.series import Series, plan_layout, reaching_back, sliding
@@ -236,4 +239,7 @@ DETECTORS: dict[str, Callable[..., DataFrame]] = {
     "mad": mad,
     "neighbour": neighbour,
     "sliding": sliding_zscore,
+    "prominence": prominence,
+    "arima": arima,
+    "iforest": iforest,
 }

@@ -271,11 +271,11 @@ def sliding(
     if layout.single:
         order = [pos] if pos else list(layout.series.order)
         return add(df, Window.partitionBy(*layout.series.keys).orderBy(*order))
-    place = pos or "_pos"
+    place = pos or "_sliding_place"
     copied, keys = blocks(df, layout, before, after, place)
     window = Window.partitionBy(*keys).orderBy(place)
     kept = add(copied, window).filter(F.col("_home") == F.col("_block"))
-    return kept.drop("_home", "_block", *([] if pos else ["_pos"]))
+    return kept.drop("_home", "_block", *([] if pos else [place]))
 
 
 def reaching_back(df: DataFrame, layout: Layout, micros: int) -> tuple[DataFrame, tuple[str, ...]]:

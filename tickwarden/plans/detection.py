@@ -208,3 +208,85 @@ def batch_window_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batched.groupBy("symbol", F.lit(size).cast("long").alias("batch_rows")).agg(
         (F.max("batch_id") + 1).alias("batches"), F.count(F.lit(1)).alias("trades")
     )
+
+
+def _outward_sql(name: str, value: str, side: str, need: float) -> str:
+    """Candidates of the runs that reach `need` below them on one side first."""
+    near, beyond = ("max", "<") if side == "left" else ("min", ">")
+    inner = "r.i > coalesce(h.stop, -1)" if side == "left" else "r.i < coalesce(h.stop, 1e18)"
+    return f"""{name}_stop AS (
+  SELECT c.symbol, c.i, {near}(r.i) AS stop FROM {value}_tops c LEFT JOIN {value}_runs r
+    ON r.symbol = c.symbol AND r.i {beyond} c.i AND r.x > c.x GROUP BY 1, 2),
+{name} AS (
+  SELECT c.symbol, c.i FROM {value}_tops c JOIN {name}_stop h ON h.symbol = c.symbol AND h.i = c.i
+  JOIN {value}_runs r ON r.symbol = c.symbol AND r.i {beyond} c.i AND {inner}
+  GROUP BY 1, 2, c.x HAVING min(r.x) + {need} <= c.x)"""
+
+
+def _tops_sql(value: str, expression: str, need: float) -> str:
+    return f"""{value}_starts AS (
+  SELECT symbol, i, {expression} AS x FROM (
+    SELECT *, lag(price) OVER (PARTITION BY symbol ORDER BY i) AS back FROM placed) AS s
+  WHERE back IS NULL OR back <> price),
+{value}_runs AS (
+  SELECT *, lead(i) OVER w - 1 AS last, lag(x) OVER w AS x0, lead(x) OVER w AS x1 FROM {value}_starts
+  WINDOW w AS (PARTITION BY symbol ORDER BY i)),
+{value}_tops AS (SELECT * FROM {value}_runs WHERE x > x0 AND x > x1),
+{_outward_sql(value + '_left', value, 'left', need)},
+{_outward_sql(value + '_right', value, 'right', need)},
+{value}_hits AS (
+  SELECT t.symbol, (t.i + t.last) // 2 AS i FROM {value}_tops t
+  JOIN {value}_left USING (symbol, i) JOIN {value}_right USING (symbol, i))"""
+
+
+@query(
+    f"""WITH {TRADES_SQL},
+placed AS (SELECT uuid, symbol, price, row_number() OVER (PARTITION BY symbol ORDER BY trade_ts, uuid) - 1 AS i FROM trades),
+{_tops_sql('up', 'price', 50)},
+{_tops_sql('down', '-price', 10)}
+SELECT uuid, CAST(u.i IS NOT NULL AS INTEGER) AS peak_anomaly, CAST(d.i IS NOT NULL AS INTEGER) AS valley_anomaly
+FROM placed p LEFT JOIN up_hits u ON u.symbol = p.symbol AND u.i = p.i
+LEFT JOIN down_hits d ON d.symbol = p.symbol AND d.i = p.i"""
+)
+def prominence_peaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickwarden.operators.peaks import peaks_and_valleys
+
+    found = peaks_and_valleys(trades(spark, sf_dir), "price", 50, 10)
+    return found.select("uuid", "peak_anomaly", "valley_anomaly")
+
+
+# A residual depends on step t-k by theta^k, which is below the rounding after 60 steps.
+FIXED_PHI, FIXED_THETA, FIXED_REACH = 0.3, 0.4, 60
+
+
+@query(
+    f"""WITH {TRADES_SQL},
+steps AS (
+  SELECT uuid, symbol, row_number() OVER w AS i, price - lag(price) OVER w AS w FROM trades
+  WINDOW w AS (PARTITION BY symbol ORDER BY trade_ts, uuid)),
+lagged AS (SELECT *, w - {FIXED_PHI}::DOUBLE * coalesce(lag(w) OVER (PARTITION BY symbol ORDER BY i), 0) AS u
+           FROM steps WHERE w IS NOT NULL),
+reach AS (SELECT unnest(range(0, {FIXED_REACH + 1})) AS k)
+SELECT a.uuid, round(sum(power(-{FIXED_THETA}::DOUBLE, k) * b.u), 6) AS residual
+FROM lagged a CROSS JOIN reach JOIN lagged b ON b.symbol = a.symbol AND b.i = a.i - k GROUP BY 1"""
+)
+def arima_residuals_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickwarden.operators.arima import arima_residuals
+
+    made = arima_residuals(trades(spark, sf_dir), "price", fixed=(FIXED_PHI, FIXED_THETA))
+    return made.select("uuid", F.round("residual", 6).alias("residual"))
+
+
+@query()
+def arima_series_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _hits(d.enrich(trades(spark, sf_dir), "arima"))
+
+
+@query()
+def arima_rows15_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _hits(d.enrich(trades(spark, sf_dir), "arima", rows(15)))
+
+
+@query()
+def iforest_series_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _hits(d.enrich(trades(spark, sf_dir), "iforest"))
