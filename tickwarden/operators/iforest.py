@@ -169,7 +169,12 @@ def scored(s: Scoped, columns: Sequence[str], ids: Sequence[str], chunk_rows: in
     dealt = sized.withColumn(
         "_part", F.pmod(F.xxhash64(*[F.col(c) for c in ids]), parts).cast("int")
     ).select(*s.df.columns, "_part")
-    spread = models.withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    model_columns = [f"_{part}_{c}" for part in ("splits", "scores") for c in columns]
+    spread = models.select(
+        *[F.col(k).alias(k) for k in keys],  # new columns, as both sides come from one table
+        F.explode(F.sequence(F.lit(0), parts - 1)).alias("_part"),
+        *model_columns,
+    )
     group, names = [*keys, "_part"], list(s.df.columns)
     made = [f"_score_{c}" for c in columns]
     out = T.StructType([*s.df.schema.fields, *[T.StructField(m, T.DoubleType()) for m in made]])

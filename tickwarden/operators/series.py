@@ -200,7 +200,7 @@ def attach(
     renamed = summary.withColumnsRenamed({k: f"_on_{k}" for k in keys})
     condition = None
     for k in keys:
-        same = df[k].eqNullSafe(F.col(f"_on_{k}"))
+        same = F.col(k).eqNullSafe(F.col(f"_on_{k}"))
         condition = same if condition is None else condition & same
     right = F.broadcast(renamed) if fits else renamed
     return df.join(right, condition, "left").drop(*[f"_on_{k}" for k in keys])
