@@ -17,10 +17,8 @@ from tickwarden.operators.iforest import iforest
 from tickwarden.operators.peaks import prominence
 from tickwarden.operators.quantiles import quantiles
 from tickwarden.operators.scope import Scope, Scoped, scoped, whole
-from tickwarden.operators.series import Series, plan_layout, reaching_back, sliding
-
-MICROS = 1_000_000
-
+from tickwarden.operators.series import Series, plan_layout, sliding
+from tickwarden.operators.trailing import MICROS, trailing_scores
 
 def flag_name(column: str) -> str:
     return f"{column}_flag"
@@ -131,61 +129,36 @@ def neighbour(df: DataFrame, columns: Sequence[str], scope: Scope = whole(),
     return sliding(s.df, plan_layout(s.df, s.inner), 1, 1, add)
 
 
-def trailing_scores(df: DataFrame, columns: Sequence[str], windows: Sequence[float],
-                    series: Series = Series()) -> DataFrame:
-    """Add `<column>_z_<i>`: the score against the last `windows[i]` seconds.
-
-    Both ends of the window are closed and rows at the same instant see each other.  All
-    windows share one shuffle and one sort.
-    """
-    layout = plan_layout(df, series)
-    reach = int(max(windows) * MICROS)
-    copies, keys = reaching_back(df, layout, reach)
-    order = Window.partitionBy(*keys).orderBy(F.unix_micros(F.col(series.time).cast("timestamp")))
-    scores = {}
-    for i, seconds in enumerate(windows):
-        frame = order.rangeBetween(-int(seconds * MICROS), 0)
-        for c in columns:
-            scores[f"{c}_z_{i}"] = F.try_divide(
-                F.col(c) - F.avg(c).over(frame), F.stddev_samp(c).over(frame)
-            )
-    scored = copies.withColumns(scores)
-    return scored.filter(F.col("_home") == F.col("_slice")).drop("_home", "_slice")
-
-
 def sliding_zscore(df: DataFrame, columns: Sequence[str], scope: Scope = whole(),
                    series: Series = Series(), seconds: float = 3, threshold: float = 3.0
                    ) -> DataFrame:
     """Flag values whose score against the trailing time window exceeds `threshold`."""
     s = scoped(df, series, scope)
     scored = trailing_scores(s.df, columns, [seconds], s.inner)
-    flags = {flag_name(c): settled(F.abs(F.col(f"{c}_z_0")) > threshold) for c in columns}
-    return scored.withColumns(flags).drop(*[f"{c}_z_0" for c in columns])
+    flags = {flag_name(c): settled(F.abs(F.col(f"{c}_z")) > threshold) for c in columns}
+    return scored.withColumns(flags).drop("window_no", *[f"{c}_z" for c in columns])
 
 
 def sweep(df: DataFrame, columns: Sequence[str], pairs: Sequence[tuple[float, float]],
           series: Series = Series()) -> DataFrame:
     """(window_seconds, threshold, <column>_count, <column>_pct) for each configuration."""
-    scored = trailing_scores(df, columns, [w for w, _ in pairs], series)
-    parts = []
-    for i, (_, limit) in enumerate(pairs):
-        for c in columns:
-            hit = settled(F.abs(F.col(f"{c}_z_{i}")) > limit)
-            parts.append(F.count_if(hit).alias(f"{c}_n_{i}"))
-            parts.append((100.0 * F.avg(hit.cast("double"))).alias(f"{c}_p_{i}"))
-    totals = scored.agg(*parts)
-    records = F.array(
+    settings = F.array(
         *[
-            F.struct(
-                F.lit(float(w)).alias("window_seconds"),
-                F.lit(float(limit)).alias("threshold"),
-                *[F.col(f"{c}_n_{i}").alias(f"{c}_count") for c in columns],
-                *[F.col(f"{c}_p_{i}").alias(f"{c}_pct") for c in columns],
-            )
-            for i, (w, limit) in enumerate(pairs)
+            F.struct(F.lit(float(w)).alias("seconds"), F.lit(float(t)).alias("limit"))
+            for w, t in pairs
         ]
     )
-    return totals.select(F.explode(records).alias("r")).select("r.*")
+    scored = trailing_scores(df, columns, [w for w, _ in pairs], series).withColumn(
+        "_set", F.element_at(settings, F.col("window_no") + 1)
+    )
+    parts = []
+    for c in columns:
+        hit = settled(F.abs(F.col(f"{c}_z")) > F.col("_set")["limit"])
+        parts.append(F.count_if(hit).alias(f"{c}_count"))
+        parts.append((100.0 * F.avg(hit.cast("double"))).alias(f"{c}_pct"))
+    return scored.groupBy(
+        F.col("_set")["seconds"].alias("window_seconds"), F.col("_set")["limit"].alias("threshold")
+    ).agg(*parts)
 
 
 def legacy_rows(df: DataFrame, threshold: float, window_size: int) -> DataFrame:

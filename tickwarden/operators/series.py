@@ -276,16 +276,3 @@ def sliding(
     window = Window.partitionBy(*keys).orderBy(place)
     kept = add(copied, window).filter(F.col("_home") == F.col("_block"))
     return kept.drop("_home", "_block", *([] if pos else [place]))
-
-
-def reaching_back(df: DataFrame, layout: Layout, micros: int) -> tuple[DataFrame, tuple[str, ...]]:
-    """Copy each row to every later time slice that can still see it within `micros`.
-
-    Returns the copies and the grouping keys; rows with `_home` = `_slice` are the originals.
-    """
-    if layout.single:
-        return df.withColumns({"_home": F.lit(0), "_slice": F.lit(0)}), layout.series.keys
-    key = sort_key(df, layout.series.time)
-    cut = layout.chunk(df, {"_home": key, "_until": key + F.lit(float(micros))})
-    copies = cut.withColumn("_slice", F.explode(F.sequence("_home", "_until"))).drop("_until")
-    return copies, (*layout.series.keys, "_slice")
