@@ -25,12 +25,12 @@ batched AS (
 HIT_SQL = "SELECT uuid, symbol, price_flag, volume_flag FROM flagged WHERE price_flag OR volume_flag"
 
 
-def _z_sql(source: str, keys: str) -> str:
+def _z_sql(source: str, keys: str, limit: float = 3) -> str:
     over = f"OVER (PARTITION BY {keys})"
     return f"""flagged AS (
   SELECT *,
-    coalesce(abs((price - avg(price) {over}) / nullif(stddev_samp(price) {over}, 0)) > 3, false) AS price_flag,
-    coalesce(abs((volume - avg(volume) {over}) / nullif(stddev_samp(volume) {over}, 0)) > 3, false) AS volume_flag
+    coalesce(abs((price - avg(price) {over}) / nullif(stddev_samp(price) {over}, 0)) > {limit}, false) AS price_flag,
+    coalesce(abs((volume - avg(volume) {over}) / nullif(stddev_samp(volume) {over}, 0)) > {limit}, false) AS volume_flag
   FROM {source})"""
 
 

@@ -52,6 +52,9 @@ STOCKS = T.StructType(
 )
 PRICE_ANOMALIES = T.StructType([f for f in STOCKS.fields if f.name != "volume"])
 VOLUME_ANOMALIES = T.StructType([f for f in STOCKS.fields if f.name != "price"])
+TABLE_SCHEMAS = {
+    "stocks": STOCKS, "price_anomalies": PRICE_ANOMALIES, "volume_anomalies": VOLUME_ANOMALIES,
+}
 
 # Recorded trades as text files hold them; times stay text until parsed leniently.
 RECORDED_CSV = T.StructType(

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickwarden.operators.scope import Scoped
 from tickwarden.operators.series import Series, sort_key
@@ -36,3 +38,35 @@ def latest_per_key(
         .select(*keys, "_row.*")
         .select(*df.columns)
     )
+
+
+def write_batch_table(df: DataFrame, path: str, batch_id: int, batch_size: int | None) -> None:
+    """Write one micro-batch's part of a table, replacing what an earlier try left.
+
+    Files are cut by trade day and ordered by symbol and newest trade, so symbol and time
+    filters skip most of them.
+    """
+    stamped = df if batch_size is None else df.withColumn("batch_size", F.lit(batch_size).cast("long"))
+    dated = stamped.withColumn("trade_date", F.to_date("trade_ts"))
+    (
+        dated.sortWithinPartitions("trade_date", "symbol", F.desc("trade_ts"))
+        .write.mode("overwrite")
+        .partitionBy("trade_date")
+        .parquet(f"{path}/batch_id={batch_id}")
+    )
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A table written by micro-batches; empty if no batch has had rows for it yet.
+
+    Besides `schema` there are the folder columns `batch_id` and `trade_date`, which filters
+    on batch and day can use to skip files.
+    """
+    folders = [T.StructField("batch_id", T.LongType()), T.StructField("trade_date", T.DateType())]
+    full = T.StructType([*schema.fields, *folders])
+    try:
+        return spark.read.schema(full).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], full)
