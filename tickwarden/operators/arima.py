@@ -37,6 +37,8 @@ COARSE, FINE, ROUNDS = 15, 9, 3
 LEAST_STEPS = 3
 # Longest scope fitted as one array, many scopes at a time.
 ARRAY_ROWS = 1000
+# Chunks composed into one before the choice.
+FOLD = 256
 TERMS = ("aa", "ab", "bb", "a", "b")
 
 
@@ -250,28 +252,61 @@ def _chunk_terms(cut: DataFrame, keys: list[str], round_no: int | None) -> DataF
     return cut.groupBy(*keys, "_chunk").applyInPandas(run, out)
 
 
-def _choose(terms: DataFrame, keys: list[str], round_no: int | None) -> DataFrame:
-    """Per chunk: the round's best parameters and the residual the chunk starts from."""
-    added = [T.StructField(c, T.DoubleType()) for c in ("_phi", "_theta", "_e_in")]
-    out = T.StructType([*_key_fields(terms, [*keys, "_chunk"]), *added])
+def _folded(terms: DataFrame, keys: list[str]) -> DataFrame:
+    """Compose the terms of neighbouring chunks, so that few reach the choice."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_chunk").reset_index(drop=True)
-        parts = [Terms(*[np.asarray(pdf[t][i]) for t in TERMS]) for i in range(len(pdf))]
-        center = (np.asarray(pdf["_phi"][0]), np.asarray(pdf["_theta"][0]))
+        pdf = pdf.sort_values("_chunk")
+        parts = [Terms(*[np.asarray(v) for v in line]) for line in pdf[list(TERMS)].itertuples(index=False)]
+        line = {k: pdf[k].iloc[0] for k in (*keys, "_chunk", "_phi", "_theta")}
+        made = reduce(Terms.then, parts)
+        line["_steps"] = int(pdf["_steps"].sum())
+        return pd.DataFrame([line | {t: getattr(made, t) for t in TERMS}])
+
+    near = F.floor(F.col("_chunk") / FOLD)
+    return terms.groupBy(*keys, near.alias("_near")).applyInPandas(run, terms.schema)
+
+
+def _choose(terms: DataFrame, keys: list[str], round_no: int) -> DataFrame:
+    """(keys, _phi, _theta): the round's best candidate over the whole series."""
+    added = [T.StructField(c, T.DoubleType()) for c in ("_phi", "_theta")]
+    out = T.StructType([*_key_fields(terms, keys), *added])
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_chunk")
+        parts = [Terms(*[np.asarray(v) for v in line]) for line in pdf[list(TERMS)].itertuples(index=False)]
+        center = (np.asarray(pdf["_phi"].iloc[0]), np.asarray(pdf["_theta"].iloc[0]))
         phi, theta = grid(center, round_no)
         at = int(np.argmin(reduce(Terms.then, parts).aa))
+        enough = pdf["_steps"].sum() >= LEAST_STEPS
+        line = {k: pdf[k].iloc[0] for k in keys}
+        line["_phi"] = float(phi[at]) if enough else np.nan
+        line["_theta"] = float(theta[at]) if enough else np.nan
+        return pd.DataFrame([line])
+
+    return _folded(terms, keys).groupBy(*keys).applyInPandas(run, out)
+
+
+def _starts(terms: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, _chunk, _phi, _theta, _e_in): the residual each chunk starts from.
+
+    Two numbers per chunk of the one chosen candidate are read in chunk order.
+    """
+    added = [T.StructField(c, T.DoubleType()) for c in ("_phi", "_theta", "_e_in")]
+    out = T.StructType([*_key_fields(terms, [*keys, "_chunk"]), *added])
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_chunk")
         e, starts = 0.0, []
-        for part in parts:
+        for a, b in zip(pdf["_a"], pdf["_b"]):
             starts.append(e)
-            e = float(part.a[at] + part.b[at] * e)
-        if round_no is not None and pdf["_steps"].sum() < LEAST_STEPS:
-            starts = [np.nan] * len(parts)
-        made = pdf[[*keys, "_chunk"]].copy()
-        made["_phi"], made["_theta"], made["_e_in"] = float(phi[at]), float(theta[at]), starts
-        return made
+            e = a + b * e
+        return pdf[[*keys, "_chunk", "_phi", "_theta"]].assign(_e_in=starts)
 
-    return terms.groupBy(*keys).applyInPandas(run, out)
+    slim = terms.select(
+        *keys, "_chunk", "_phi", "_theta", F.col("a")[0].alias("_a"), F.col("b")[0].alias("_b")
+    )
+    return slim.groupBy(*keys).applyInPandas(run, out)
 
 
 def _residuals_by_chunk(steps: DataFrame, keys: list[str], order: list[str], layout: Layout,
@@ -283,20 +318,16 @@ def _residuals_by_chunk(steps: DataFrame, keys: list[str], order: list[str], lay
     chunk = F.floor(F.col("_pos") / layout.chunk_rows).cast("long")
     steps.select(*kept, "_pos", "_w", "_back", chunk.alias("_chunk")).write.parquet(path)
     cut = spark.read.parquet(path)
-    cells = layout.groups * (layout.rows // layout.chunk_rows + 1)
     phi, theta = fixed or (0.0, 0.0)
-    centers = None
-    for round_no in [None] if fixed else range(ROUNDS):
-        if centers is None:
-            located = cut.withColumns({"_phi": F.lit(phi), "_theta": F.lit(theta)})
-        else:
-            located = attach(
-                cut, centers.drop("_e_in"), (*keys, "_chunk"), cells, layout.broadcast_rows
-            )
+    located = cut.withColumns({"_phi": F.lit(phi), "_theta": F.lit(theta)})
+    for round_no in () if fixed else range(ROUNDS):
         chosen = _choose(_chunk_terms(located, keys, round_no), keys, round_no)
         session.checkpoint_dir(spark)
-        centers = chosen.checkpoint()  # a few numbers per chunk; cuts the loop's lineage
-    ready = attach(cut, centers, (*keys, "_chunk"), cells, layout.broadcast_rows)
+        # two numbers per series; a checkpoint keeps rounds from repeating earlier rounds
+        located = layout.attach(cut, chosen.checkpoint(), keys)
+    starts = _starts(_chunk_terms(located, keys, None), keys)
+    cells = layout.groups * (layout.rows // layout.chunk_rows + 1)
+    ready = attach(cut, starts, (*keys, "_chunk"), cells, layout.broadcast_rows)
     out = T.StructType([*_key_fields(cut, kept), T.StructField("_e", T.DoubleType())])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from tickwarden import session
 
 # Boundaries are held on the driver and inside one expression, so their number is bounded.
-MAX_CHUNKS = 8192
+MAX_CHUNKS = 16384
 LAST_SUB = 2**31 - 1
 
 
@@ -178,7 +178,7 @@ def plan_layout(
     parts = min(MAX_CHUNKS, math.ceil(rows / size))
     points = [i / parts for i in range(1, parts)]
     cuts = df.agg(
-        F.percentile_approx(sort_key(df, series.time), points, 20 * parts).alias("cuts")
+        F.percentile_approx(sort_key(df, series.time), points, 8 * parts).alias("cuts")
     ).first()["cuts"]
     seen = Counter(cuts or [])
     heavy = {value: times for value, times in seen.items() if times > 1}
