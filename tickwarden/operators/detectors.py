@@ -12,6 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from tickwarden.functions.missing import without_nan
 from tickwarden.operators.arima import arima
 from tickwarden.operators.iforest import iforest
 from tickwarden.operators.peaks import prominence
@@ -200,10 +201,13 @@ def enrich(df: DataFrame, method: str, scope: Scope = whole(), series: Series =
 
 def detect(df: DataFrame, method: str, columns: Sequence[str] = ("price", "volume"),
            scope: Scope = whole(), series: Series = Series(), **params) -> DataFrame:
-    """Run the named detector; the same call serves tables and micro-batches."""
+    """Run the named detector; the same call serves tables and micro-batches.
+
+    NaN in the judged columns counts as missing and comes back as NULL.
+    """
     if method not in DETECTORS:
         raise ValueError(f"unknown detector {method!r}; known: {sorted(DETECTORS)}")
-    return DETECTORS[method](df, columns, scope, series, **params)
+    return DETECTORS[method](without_nan(df, columns), columns, scope, series, **params)
 
 
 DETECTORS: dict[str, Callable[..., DataFrame]] = {

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickwarden.functions.missing import number
 from tickwarden.operators.series import Layout, Series, plan_layout
 
 
 def _present(column: str, place: Column) -> Column:
     """(place, value) where the value is there, else NULL."""
-    value = F.col(column).cast("double")
+    value = number(column)
     return F.when(value.isNotNull(), F.struct(place.alias("at"), value.alias("x")))
 
 
@@ -44,7 +45,7 @@ def interpolate(
 
 
 def _blend(c: str) -> Column:
-    value, prev, ahead = F.col(c).cast("double"), F.col(f"_prev_{c}"), F.col(f"_next_{c}")
+    value, prev, ahead = number(c), F.col(f"_prev_{c}"), F.col(f"_next_{c}")
     share = F.try_divide(F.col("_at") - prev["at"], (ahead["at"] - prev["at"]).cast("double"))
     between = prev["x"] + (ahead["x"] - prev["x"]) * share
     return F.coalesce(value, F.when(ahead.isNull(), prev["x"]).otherwise(between))
@@ -87,9 +88,9 @@ def _carry(near: DataFrame, placed: DataFrame, layout: Layout, columns: tuple[st
 
 def fill_with_mean(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     """Fill what is still NULL with the column's mean over the whole table."""
-    means = df.agg(*[F.avg(c).alias(f"_mean_{c}") for c in columns])
+    means = df.agg(*[F.avg(number(c)).alias(f"_mean_{c}") for c in columns])
     filled = df.crossJoin(F.broadcast(means)).withColumns(
-        {c: F.coalesce(F.col(c), F.col(f"_mean_{c}")) for c in columns}
+        {c: F.coalesce(number(c), F.col(f"_mean_{c}")) for c in columns}
     )
     return filled.drop(*[f"_mean_{c}" for c in columns])
 
