@@ -68,3 +68,24 @@ def test_series_statistics_move_no_rows(spark, sf_dir):
 def test_core_detectors_stay_in_the_jvm(spark, sf_dir, name):
     text = plan(QUERIES[name](spark, sf_dir))
     assert "Python" not in text and "Arrow" not in text and "Cartesian" not in text
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    """Python tasks run though the package is on the driver's path alone."""
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = (
+        f"import sys; sys.path.insert(0, {repo!r})\n"
+        "import __spark_entry__ as e\n"
+        "from tickwarden.session import local_session\n"
+        "spark = local_session('2')\n"
+        "print('rows', e.queries()['arima_series_flags'](spark, '/root/testdata/sf0.001').count())\n"
+    )
+    clean = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, "-c", script], cwd=tmp_path, env=clean, capture_output=True, text=True, timeout=300
+    )
+    assert "rows " in done.stdout, done.stderr[-2000:]

@@ -79,20 +79,19 @@ def _uniform(*parts: Column) -> Column:
 def _tree_numbers(ids: Sequence[str], seed: int, trees: int, sample: int) -> Column:
     """The trees a row may be drawn for, given its scope's size `_n`.
 
-    About twice the needed rows are let through.  In a large scope one draw picks a row and
-    its single tree; in a small one each tree draws for itself.
+    About twice the needed rows are let through.  A row makes as many draws as the trees it
+    should reach on average (one in a large scope); each names a tree or none.  In a scope
+    so small that every tree may see all of it, each row goes to every tree.
     """
     key = [F.col(c) for c in ids]
     share = 2.0 * sample / F.col("_n")
-    chosen = F.when(
-        _uniform(*key, F.lit(seed)) < trees * share,
-        F.array(F.floor(_uniform(*key, F.lit(seed + 1)) * trees).cast("int")),
+    draws = F.ceil(trees * share).cast("int")
+    picked = F.transform(
+        F.sequence(F.lit(0), draws - 1),
+        lambda i: F.floor(_uniform(*key, F.lit(seed), i) * draws / share).cast("int"),
     )
-    each = F.filter(
-        F.sequence(F.lit(0), F.lit(trees - 1)),
-        lambda t: _uniform(*key, F.lit(seed), t) < share,
-    )
-    return F.when(trees * share < 1.0, chosen).otherwise(each)
+    some = F.array_distinct(F.filter(picked, lambda t: t < trees))
+    return F.when(share >= 1.0, F.sequence(F.lit(0), F.lit(trees - 1))).otherwise(some)
 
 
 def forests(rows: DataFrame, keys: list[str], ids: Sequence[str], column: str, seed: int,
