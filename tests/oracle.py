@@ -30,7 +30,7 @@ def canonical(columns, rows):
 
     def plain(v):
         if isinstance(v, float):
-            return "nan" if math.isnan(v) else repr(v + 0.0)
+            return "nan" if math.isnan(v) else repr(v)
         if isinstance(v, (list, tuple)):
             return "[" + ",".join(plain(x) for x in v) + "]"
         return repr(v)

@@ -307,3 +307,17 @@ def test_scopes_name_their_groups(spark):
         detect(df, "guess")
     with pytest.raises(ValueError):
         rows(0)
+
+
+@pytest.mark.parametrize("method", ["prominence", "arima", "iforest"])
+def test_repeated_local_hour_keeps_times(spark, method):
+    """Times pass through Python unharmed in a zone whose clock goes back."""
+    made = [(f"{i:03d}", "a", float(i * 7 % 11), 1_698_537_600 + i * 120) for i in range(120)]
+    df = spark.createDataFrame(made, "uuid string, symbol string, price double, s long")
+    df = df.withColumn("trade_ts", F.timestamp_seconds("s"))
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Warsaw")
+    try:
+        out = detect(df, method, ("price",)).select("s", F.unix_seconds("trade_ts").alias("t")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert len(out) == 120 and all(r.s == r.t for r in out)

@@ -25,7 +25,7 @@ from tickwarden.operators.series import (
     Layout,
     Series,
     attach,
-    keyed,
+    for_python,
     plan_layout,
     sliding,
     with_position,
@@ -313,11 +313,11 @@ def _residuals_by_chunk(steps: DataFrame, keys: list[str], order: list[str], lay
                         fixed: tuple[float, float] | None) -> DataFrame:
     """The same for series of any length, in one pass over the chunks per search round."""
     spark = steps.sparkSession
-    path = session.scratch_path(spark, "arima-steps")
     kept = list(dict.fromkeys((*keys, *order)))
     chunk = F.floor(F.col("_pos") / layout.chunk_rows).cast("long")
-    steps.select(*kept, "_pos", "_w", "_back", chunk.alias("_chunk")).write.parquet(path)
-    cut = spark.read.parquet(path)
+    cut = session.stored(
+        steps.select(*kept, "_pos", "_w", "_back", chunk.alias("_chunk")), "arima-steps"
+    )
     phi, theta = fixed or (0.0, 0.0)
     located = cut.withColumns({"_phi": F.lit(phi), "_theta": F.lit(theta)})
     for round_no in () if fixed else range(ROUNDS):
@@ -371,7 +371,7 @@ def arima(df: DataFrame, columns: Sequence[str], scope: Scope = whole(),
     s = scoped(df, series, scope)
     if s.bounded and s.limit <= ARRAY_ROWS:
         return _short_scopes(s, columns, threshold, include_first)
-    table, inner, drop = keyed(s.df, s.inner)
+    table, inner, finish = for_python(s.df, s.inner)
     layout = plan_layout(table, inner)
     judged = Scoped(table, inner, inner.keys, counted=(layout.rows, layout.groups))
     for c in columns:
@@ -386,4 +386,4 @@ def arima(df: DataFrame, columns: Sequence[str], scope: Scope = whole(),
             {f"{c}_flag": F.coalesce(hit, F.lit(False))}
         )
         judged = replace(judged, df=judged.df.drop("residual", "_std"))
-    return judged.df.drop(*drop)
+    return finish(judged.df)

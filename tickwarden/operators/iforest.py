@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from tickwarden.operators.quantiles import quantiles
 from tickwarden.operators.scope import Scope, Scoped, scoped, whole
-from tickwarden.operators.series import Series, attach, keyed, plan_layout
+from tickwarden.operators.series import Series, attach, for_python, plan_layout
 
 # Fixed values of the published method: trees and rows per tree, and Euler's constant.
 TREES, SAMPLE = 100, 256
@@ -202,7 +202,7 @@ def iforest(df: DataFrame, columns: Sequence[str], scope: Scope = whole(),
     Rows are identified by the series' tie-breakers, which must be unique.
     """
     s = scoped(df, series, scope)
-    table, inner, drop = keyed(s.df, s.inner)
+    table, inner, finish = for_python(s.df, s.inner)
     current = Scoped(table, inner, inner.keys).count()
     layout = plan_layout(table, inner, known=current.counted)
     share = [1.0 - contamination]
@@ -221,4 +221,4 @@ def iforest(df: DataFrame, columns: Sequence[str], scope: Scope = whole(),
         for c in columns
     }
     helpers = [f"_{part}_{c}" for part in ("score", "cut") for c in columns]
-    return judged.withColumns(flags).drop(*helpers, *drop)
+    return finish(judged.withColumns(flags).drop(*helpers))

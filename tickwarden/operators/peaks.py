@@ -18,12 +18,13 @@ from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickwarden import session
 from tickwarden.operators.scope import Scope, scoped, whole
 from tickwarden.operators.series import (
     Layout,
     Series,
     attach,
-    keyed,
+    for_python,
     plan_layout,
     sliding,
     with_position,
@@ -68,6 +69,8 @@ def _turns(rows: DataFrame, layout: Layout) -> DataFrame:
     ).filter(F.col("_back").isNull() | (F.col("_back") != F.col("_x")))
     runs = starts.select(*keys, "_pos", "_x")
     known = (layout.rows, layout.groups) if layout.single else None
+    if not layout.single:
+        runs = session.stored(runs, "runs")
     inner = plan_layout(runs, Series(keys, "_pos", ()), layout.chunk_rows, known)
 
     def add(d: DataFrame, w: WindowSpec) -> DataFrame:
@@ -132,9 +135,13 @@ def _prominent(turns: DataFrame, layout: Layout, peaks: float, valleys: float) -
     if layout.single:
         cut = turns.withColumns({"_chunk": F.lit(0).cast("long"), **{s: F.lit(START) for s in SIDES}})
     else:
+        turns = session.stored(turns, "turns")
         inner = plan_layout(turns, Series(tuple(keys), "_pos", ()), layout.chunk_rows)
-        numbered = with_position(turns, inner, "_turn").withColumn(
-            "_chunk", F.floor(F.col("_turn") / inner.chunk_rows).cast("long")
+        numbered = session.stored(
+            with_position(turns, inner, "_turn").withColumn(
+                "_chunk", F.floor(F.col("_turn") / inner.chunk_rows).cast("long")
+            ),
+            "numbered-turns",
         )
         starts = _chunk_levels(numbered, layout, peaks, valleys)
         cut = attach(numbered, starts, (*keys, "_chunk"), inner.cell_count, inner.broadcast_rows)
@@ -172,7 +179,7 @@ def peaks_and_valleys(
 
     A plateau counts once, at its middle row; the ends of a series are never peaks.
     """
-    table, series, drop = keyed(df, series)
+    table, series, finish = for_python(df, series)
     keys = list(series.keys)
     there = table.filter(F.col(column).isNotNull())
     layout = plan_layout(there, series)
@@ -187,12 +194,13 @@ def peaks_and_valleys(
     marked = joined.drop("_pos").unionByName(
         table.filter(F.col(column).isNull()).withColumns({"_peak": none, "_valley": none})
     )
-    return marked.withColumns(
+    labelled = marked.withColumns(
         {
             "peak_anomaly": F.coalesce("_peak", none).cast("int"),
             "valley_anomaly": F.coalesce("_valley", none).cast("int"),
         }
-    ).drop("_peak", "_valley", *drop)
+    )
+    return finish(labelled.drop("_peak", "_valley"))
 
 
 def prominence(df: DataFrame, columns: Sequence[str], scope: Scope = whole(),

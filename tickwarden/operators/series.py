@@ -143,14 +143,26 @@ class Layout:
         return attach(df, summary, keys, rows, self.broadcast_rows)
 
 
-def keyed(df: DataFrame, series: Series) -> tuple[DataFrame, Series, tuple[str, ...]]:
-    """A series without keys gets a constant one, for operators that must group by something.
-
-    Returns the table, the series and the helper columns to drop at the end.
+def for_python(
+    df: DataFrame, series: Series
+) -> tuple[DataFrame, Series, Callable[[DataFrame], DataFrame]]:
+    """Prepare a table for grouped Python functions.
+
+    A series without keys gets a constant one.  Times become microseconds, as pandas would
+    hold them in session local time, where an hour repeats once a year in many zones.
+    Returns the table, the series, and what undoes both on the result.
     """
-    if series.keys:
-        return df, series, ()
-    return df.withColumn("_all", F.lit(0)), Series(("_all",), series.time, series.ties), ("_all",)
+    times = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)]
+    table = df.withColumns({c: F.unix_micros(c) for c in times}) if times else df
+    if not series.keys:
+        table = table.withColumn("_all", F.lit(0))
+        series = Series(("_all",), series.time, series.ties)
+
+    def finish(result: DataFrame) -> DataFrame:
+        back = {c: F.timestamp_micros(c) for c in times if c in result.columns}
+        return (result.withColumns(back) if back else result).drop("_all")
+
+    return table, series, finish
 
 
 def count_groups(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickwarden.operators.series import Series, blocks, keyed, plan_layout
+from tickwarden.operators.series import Series, blocks, for_python, plan_layout
 
 # MacKinnon (1994) p-value surface and (2010) critical values, constant term,
 # lowest power first.
@@ -86,7 +86,7 @@ def adf(df: DataFrame, column: str, series: Series = Series(), max_lag: int | No
     Each block of rows adds up its part of the regression's cross products; only those sums
     and the first few values of a series reach the solver, whatever the series' length.
     """
-    rows, series, drop = keyed(df.filter(F.col(column).isNotNull()), series)
+    rows, series, restore = for_python(df.filter(F.col(column).isNotNull()), series)
     keys = list(series.keys)
     stats = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), F.avg(column).alias("_mean"),
@@ -170,4 +170,4 @@ def adf(df: DataFrame, column: str, series: Series = Series(), max_lag: int | No
         ]
     )
     tested = sums.groupBy(*keys).applyInPandas(finish, result_type)
-    return tested.withColumn("stationary", F.col("p") <= 0.05).drop(*drop)
+    return restore(tested.withColumn("stationary", F.col("p") <= 0.05))
