@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tickwarden import Series, by_columns, detect, rows, time_window, whole
+from tickwarden import by_columns, detect, rows, time_window, whole
 from tickwarden.operators import arima, iforest, peaks
 from tickwarden.operators.detectors import DETECTORS, sweep, trailing_scores
 

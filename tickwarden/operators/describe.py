@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -10,8 +9,7 @@ from pyspark.sql import functions as F
 
 from tickwarden.functions.normal import normal_quantile, normal_upper, polynomial
 from tickwarden.operators.quantiles import quantiles
-from tickwarden.operators.scope import Scoped
-from tickwarden.operators.series import Series, attach, plan_layout, with_position
+from tickwarden.operators.series import Series, plan_layout, with_position, with_totals
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -24,7 +22,7 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             F.max(c).cast("double").alias(f"max_{c}"),
         ]
     quartiles = quantiles(df, [], {f"q_{c}": c for c in columns}, [0.25, 0.5, 0.75])
-    joined = df.agg(*parts).crossJoin(F.broadcast(quartiles))
+    joined = with_totals(df.agg(*parts), quartiles)
     lines = F.array(
         *[
             F.struct(
@@ -43,7 +41,7 @@ def batch_size_summary(df: DataFrame, column: str = "batch_size") -> DataFrame:
     """(mean, std, median) of the recorded batch sizes."""
     middle = quantiles(df, [], {"_q": column}, [0.5])
     summary = df.agg(F.avg(column).alias("mean"), F.stddev_samp(column).alias("std"))
-    return summary.crossJoin(F.broadcast(middle)).select(
+    return with_totals(summary, middle).select(
         "mean", "std", F.col("_q")[0].alias("median")
     )
 
@@ -63,8 +61,7 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     width = (F.col("_hi") - F.col("_lo")) / bins
     number = F.least(F.floor((F.col(column) - F.col("_lo")) / width) + 1, F.lit(bins))
     counts = (
-        df.filter(F.col(column).isNotNull())
-        .crossJoin(F.broadcast(ends))
+        with_totals(df.filter(F.col(column).isNotNull()), ends)
         .groupBy(number.cast("int").alias("_bin"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )

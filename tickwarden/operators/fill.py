@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickwarden.functions.missing import number
-from tickwarden.operators.series import Layout, Series, plan_layout
+from tickwarden.operators.series import Layout, Series, plan_layout, with_totals
 
 
 def _present(column: str, place: Column) -> Column:
@@ -89,7 +89,7 @@ def _carry(near: DataFrame, placed: DataFrame, layout: Layout, columns: tuple[st
 def fill_with_mean(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     """Fill what is still NULL with the column's mean over the whole table."""
     means = df.agg(*[F.avg(number(c)).alias(f"_mean_{c}") for c in columns])
-    filled = df.crossJoin(F.broadcast(means)).withColumns(
+    filled = with_totals(df, means).withColumns(
         {c: F.coalesce(number(c), F.col(f"_mean_{c}")) for c in columns}
     )
     return filled.drop(*[f"_mean_{c}" for c in columns])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
-from tickwarden.operators.series import Series, plan_layout, sliding
+from tickwarden.operators.series import Series, plan_layout, sliding, with_totals
 
 # How far a planted value lies from its neighbours' mean, its rounding, and
 # the volume above which a row counts as a volume anomaly.
@@ -57,7 +57,7 @@ def add_anomalies(
     draws = draws or hashed_draws()
     drawn = df.withColumns({"_price_u": draws("price_pick"), "_volume_u": draws("volume_pick")})
     least = drawn.agg(F.min("_price_u").alias("_price_min"), F.min("_volume_u").alias("_volume_min"))
-    picks = drawn.crossJoin(F.broadcast(least)).withColumns(
+    picks = with_totals(drawn, least).withColumns(
         {
             f"_{c}_pick": (F.col(f"_{c}_u") < ratio) | (F.col(f"_{c}_u") == F.col(f"_{c}_min"))
             for c in ("price", "volume")

@@ -14,7 +14,7 @@ from collections.abc import Iterable, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, WindowSpec
+from pyspark.sql import DataFrame, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

@@ -106,7 +106,10 @@ class Layout:
         return cut.drop(*raw, *[f"_cut{n}" for n in raw])
 
     def cells(self, df: DataFrame) -> DataFrame:
-        """Add `_chunk` and `_sub`; (keys, _chunk, _sub) groups are bounded and ordered."""
+        """Add `_chunk` and `_sub`; (keys, _chunk, _sub) groups are bounded and ordered.
+
+        Without tie-breakers equal times cannot be cut, so such series need distinct times.
+        """
         if self.single:
             return df
         ordered = self.chunk(df, {"_chunk": sort_key(df, self.series.time)})
@@ -197,6 +200,14 @@ def plan_layout(
     return Layout(**facts, splits=tuple(sorted(seen)), heavy=heavy)
 
 
+def with_totals(df: DataFrame, totals: DataFrame) -> DataFrame:
+    """Add the columns of a one-row aggregate to every row, by scalar subquery."""
+    row = totals.select(F.struct(*totals.columns).alias("_row")).scalar()
+    return df.withColumn("_totals", row).select(
+        *df.columns, *[F.col("_totals")[c].alias(c) for c in totals.columns]
+    )
+
+
 def attach(
     df: DataFrame, summary: DataFrame, keys: Sequence[str], rows: int, broadcast_rows: int
 ) -> DataFrame:
@@ -208,7 +219,7 @@ def attach(
     """
     fits = rows <= broadcast_rows // 2  # distinct counts are approximate, so keep a margin
     if not keys:
-        return df.crossJoin(F.broadcast(summary))
+        return with_totals(df, summary)
     renamed = summary.withColumnsRenamed({k: f"_on_{k}" for k in keys})
     condition = None
     for k in keys:

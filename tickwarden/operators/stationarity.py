@@ -119,8 +119,9 @@ def adf(df: DataFrame, column: str, series: Series = Series(), max_lag: int | No
             z = design(x[part[0] - lags - 1 : part[-1] + 1], lags)
             gram += z.T @ z
         head = (pos <= lags) & (pdf["_home"] == pdf["_block"]).to_numpy()
-        index = np.concatenate([np.arange(gram.size), -1 - pos[head]])
-        value = np.concatenate([gram.ravel(), x[head]])
+        upper = gram[np.triu_indices(lags + 3)]
+        index = np.concatenate([np.arange(len(upper)), -1 - pos[head]])
+        value = np.concatenate([upper, x[head]])
         made = pd.DataFrame({"_i": index, "_value": value, "_n": n})
         for k in keys:
             made[k] = pdf[k].iloc[0]
@@ -143,7 +144,9 @@ def adf(df: DataFrame, column: str, series: Series = Series(), max_lag: int | No
         lags = lag_of(n)
         ordered = pdf.sort_values("_i")
         index, value = ordered["_i"].to_numpy(), ordered["_value"].to_numpy()
-        gram = value[index >= 0].reshape(lags + 3, lags + 3)
+        gram = np.zeros((lags + 3, lags + 3))
+        gram[np.triu_indices(lags + 3)] = value[index >= 0]
+        gram = gram + np.triu(gram, 1).T
         head = value[index < 0][::-1]
         try:
             statistic, used, observed = solve(gram, head, n, lags, auto)

@@ -18,7 +18,7 @@ from tickwarden.plans.fixtures import (
     stocks,
     trades,
 )
-from tickwarden.plans.preparation import HOUR, rounded
+from tickwarden.plans.preparation import rounded
 from tickwarden.plans.registry import query
 
 TOTALS_SQL = """totals AS (
