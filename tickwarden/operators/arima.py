@@ -373,7 +373,7 @@ def arima(df: DataFrame, columns: Sequence[str], scope: Scope = whole(),
         return _short_scopes(s, columns, threshold, include_first)
     table, inner, finish = for_python(s.df, s.inner)
     layout = plan_layout(table, inner)
-    judged = Scoped(table, inner, inner.keys, counted=(layout.rows, layout.groups))
+    judged = Scoped(table, inner, inner.keys, counted=layout.counted)
     for c in columns:
         found = arima_residuals(table, c, inner, layout=layout)
         on = list(dict.fromkeys((*inner.keys, *inner.order)))

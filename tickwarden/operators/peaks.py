@@ -68,7 +68,7 @@ def _turns(rows: DataFrame, layout: Layout) -> DataFrame:
         rows, layout, 1, 0, lambda d, w: d.withColumn("_back", F.lag("_x").over(w)), "_pos"
     ).filter(F.col("_back").isNull() | (F.col("_back") != F.col("_x")))
     runs = starts.select(*keys, "_pos", "_x")
-    known = (layout.rows, layout.groups) if layout.single else None
+    known = layout.counted if layout.single else None
     if not layout.single:
         runs = session.stored(runs, "runs")
     inner = plan_layout(runs, Series(keys, "_pos", ()), layout.chunk_rows, known)

@@ -17,13 +17,13 @@ def quantiles(
     probs: Sequence[float],
     discrete: bool = False,
     chunk_rows: int | None = None,
-    known: tuple[int, int] | None = None,
+    known: tuple[int, int, int] | None = None,
 ) -> DataFrame:
     """(keys, one array per entry of `columns`): its quantile at each probability.
 
     `columns` maps result names to source columns.  Linear interpolation by default;
     `discrete` takes the smallest value whose cumulative share reaches the probability.
-    NULLs are ignored.  `known` is (rows, groups) if they were counted already.
+    NULLs are ignored.  `known` is what `count_groups` gives, if it was called already.
     """
     keys = list(keys)
     rows = df.select(*keys, *[F.col(c).cast("double").alias(n) for n, c in columns.items()])

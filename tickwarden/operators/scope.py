@@ -63,7 +63,7 @@ class Scoped:
     keys: tuple[str, ...]
     bounded: bool = False
     limit: int = 0
-    counted: tuple[int, int] | None = None
+    counted: tuple[int, int, int] | None = None
 
     @property
     def inner(self) -> Series:
@@ -71,7 +71,7 @@ class Scoped:
         return Series(self.keys, self.series.time, self.series.ties)
 
     def count(self) -> "Scoped":
-        """With (rows, scopes) filled in; later steps that keep the rows reuse it."""
+        """With (rows, scopes, rows of the largest) filled in; later steps that keep the rows reuse it."""
         return self if self.counted else replace(self, counted=count_groups(self.df, self.keys))
 
     def attach(self, summary: DataFrame) -> "Scoped":

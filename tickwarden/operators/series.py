@@ -63,6 +63,7 @@ class Layout:
     series: Series
     rows: int
     groups: int
+    largest: int
     chunk_rows: int
     broadcast_rows: int
     splits: tuple[float, ...] = ()
@@ -70,8 +71,12 @@ class Layout:
 
     @property
     def single(self) -> bool:
-        """True when the whole table fits one task, so plain windows are safe."""
-        return self.rows <= self.chunk_rows
+        """True when every series fits one task, so plain windows are safe."""
+        return self.largest <= self.chunk_rows
+
+    @property
+    def counted(self) -> tuple[int, int, int]:
+        return self.rows, self.groups, self.largest
 
     @property
     def cell_keys(self) -> tuple[str, ...]:
@@ -168,27 +173,31 @@ def for_python(
     return table, series, finish
 
 
-def count_groups(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
-    """(rows, about how many distinct keys), from one pass over the key columns."""
-    groups = F.approx_count_distinct(F.struct(*keys)) if keys else F.lit(1)
-    counted = df.agg(F.count(F.lit(1)).alias("rows"), groups.alias("groups")).first()
-    return counted["rows"], max(1, counted["groups"])
+def count_groups(df: DataFrame, keys: Sequence[str]) -> tuple[int, int, int]:
+    """(rows, distinct keys, rows of the largest key), counted map-side over the key columns."""
+    if not keys:
+        rows = df.count()
+        return rows, 1, rows
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    found = sizes.agg(F.sum("_n"), F.count(F.lit(1)), F.max("_n")).first()
+    return found[0] or 0, max(1, found[1]), found[2] or 0
 
 
 def plan_layout(
     df: DataFrame,
     series: Series,
     chunk_rows: int | None = None,
-    known: tuple[int, int] | None = None,
+    known: tuple[int, int, int] | None = None,
 ) -> Layout:
     """One pass over the key columns (unless `known` has its result), and one over the time
-    column when the table does not fit one task."""
+    column when some series does not fit one task."""
     spark = df.sparkSession
     size = chunk_rows or session.int_conf(spark, session.CHUNK_ROWS, session.DEFAULT_CHUNK_ROWS)
     small = session.int_conf(spark, session.BROADCAST_ROWS, session.DEFAULT_BROADCAST_ROWS)
-    rows, groups = known or count_groups(df, series.keys)
-    facts = dict(series=series, rows=rows, groups=groups, chunk_rows=size, broadcast_rows=small)
-    if rows <= size:
+    rows, groups, largest = known or count_groups(df, series.keys)
+    facts = dict(series=series, rows=rows, groups=groups, largest=largest, chunk_rows=size,
+                 broadcast_rows=small)
+    if largest <= size:
         return Layout(**facts)
     parts = min(MAX_CHUNKS, math.ceil(rows / size))
     points = [i / parts for i in range(1, parts)]
@@ -217,7 +226,7 @@ def attach(
     summary is broadcast and `df` does not move.  Beyond it the join shuffles and
     adaptive execution splits skewed keys.
     """
-    fits = rows <= broadcast_rows // 2  # distinct counts are approximate, so keep a margin
+    fits = rows <= broadcast_rows
     if not keys:
         return with_totals(df, summary)
     renamed = summary.withColumnsRenamed({k: f"_on_{k}" for k in keys})
