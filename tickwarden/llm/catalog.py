@@ -1,6 +1,6 @@
 """The registered queries of this folder and their SQL."""
 
-from tickwarden.llm import bpe, simhash
+from tickwarden.llm import bpe, embeddings, simhash, toxicity
 
-QUERIES = {q.__name__: q for q in (simhash.op6_simhash, bpe.op10_bpe)}
-ORACLES: dict[str, str] = {}
+QUERIES = {q.__name__: q for q in (toxicity.op3_toxicity, embeddings.op5_embeddings, simhash.op6_simhash, bpe.op10_bpe)}
+ORACLES: dict[str, str] = {"op5_embeddings": embeddings.ORACLE}
