@@ -1,6 +1,10 @@
 """The registered queries of this folder and their SQL."""
 
-from tickwarden.llm import bpe, embeddings, simhash, toxicity
+from tickwarden.llm import archives, bpe, chat, embeddings, simhash, toxicity
 
-QUERIES = {q.__name__: q for q in (toxicity.op3_toxicity, embeddings.op5_embeddings, simhash.op6_simhash, bpe.op10_bpe)}
-ORACLES: dict[str, str] = {"op5_embeddings": embeddings.ORACLE}
+QUERIES = {q.__name__: q for q in (toxicity.op3_toxicity, chat.op4_chat, embeddings.op5_embeddings, simhash.op6_simhash, archives.op8_warc, bpe.op10_bpe)}
+ORACLES: dict[str, str] = {
+    "op4_chat": chat.ORACLE,
+    "op5_embeddings": embeddings.ORACLE,
+    "op8_warc": archives.ORACLE,
+}
