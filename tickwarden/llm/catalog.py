@@ -1,8 +1,8 @@
 """The registered queries of this folder and their SQL."""
 
-from tickwarden.llm import archives, bpe, chat, embeddings, simhash, toxicity
+from tickwarden.llm import archives, bpe, chat, embeddings, simhash, suffix_tree, toxicity
 
-QUERIES = {q.__name__: q for q in (toxicity.op3_toxicity, chat.op4_chat, embeddings.op5_embeddings, simhash.op6_simhash, archives.op8_warc, bpe.op10_bpe)}
+QUERIES = {q.__name__: q for q in (suffix_tree.op1_suffix_tree, toxicity.op3_toxicity, chat.op4_chat, embeddings.op5_embeddings, simhash.op6_simhash, archives.op8_warc, bpe.op10_bpe)}
 ORACLES: dict[str, str] = {
     "op4_chat": chat.ORACLE,
     "op5_embeddings": embeddings.ORACLE,
