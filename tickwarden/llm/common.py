@@ -54,3 +54,18 @@ def links_in_tile(linked: np.ndarray, left: np.ndarray, right: np.ndarray) -> tu
             break
     keep = label != np.arange(len(ids))
     return ids[keep], ids[label[keep]]
+
+
+def placed_by(df: DataFrame, key: str) -> DataFrame:
+    """A checkpoint that lies partitioned by `key`, so that later groupings by it move nothing.
+
+    Adaptive plans don't tell their partitioning, so the plan written here is a fixed one.
+    """
+    spark = df.sparkSession
+    session.checkpoint_dir(spark)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return df.repartition(partitions(spark), key).checkpoint()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)

@@ -20,7 +20,6 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwarden import session
 from tickwarden.llm import common
 
 CHUNK_TOKENS = 2_000_000
@@ -298,8 +297,7 @@ def score(docs: DataFrame, train: str, doc_id: str = "doc_id", text: str = "text
     rows = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), (~F.coalesce(F.expr(train), F.lit(False))).alias("held_out"), F.col(text).alias("text")
     )
-    session.checkpoint_dir(spark)
-    made = chunks(rows).repartition(common.partitions(spark), "chunk").checkpoint()
+    made = common.placed_by(chunks(rows), "chunk")
     tokens = made.select(F.sum(F.octet_length("sizes") / 8), F.sum("m")).first()
     parts = 1 << max(4, int(np.ceil(np.log2(max(1, (tokens[1] or 0) * 4 / PART_TOKENS)))))
     parts = max(parts, 1 << int(np.ceil(np.log2(common.partitions(spark)))))
