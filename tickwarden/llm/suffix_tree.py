@@ -25,13 +25,16 @@ from tickwarden.llm import common
 CHUNK_TOKENS = 2_000_000
 # Tokens of the corpus for each part of the key space.
 PART_TOKENS = 1 << 20
-# Occurrences in training of a context that may become a node, and of a symbol after it that is kept.
-LEAST_CONTEXT, LEAST_SYMBOL = 12, 2
+# Occurrences in training of a context that may become a node: so many, and CONTEXT_SHARE times the root of
+# all training tokens, so that the tree grows with the corpus but slower.  Occurrences of a symbol kept after it.
+LEAST_CONTEXT, CONTEXT_SHARE, LEAST_SYMBOL = 12, 1 / 400, 2
 # Gain in nats for each kept symbol, below which a node is not kept; share of a count given to the parent.
 COST, DISCOUNT = 2.0, 0.75
 END = xxhash.xxh64_intdigest(b"")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 WORDS, PAIRS, NODES1, TRIPLES, NODES2 = range(5)
+# How sums and answers of each kind travel: words count exactly, the rest to seven digits.
+KIND = (np.float64, np.float32, np.float32, np.float32, np.float32)
 
 
 def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -115,6 +118,7 @@ class Chunk:
         self.words = np.frombuffer(row["words"], np.uint64)
         self.codes = _unpack(row["codes"], int(self.sizes.sum()), np.uint32)
         self.answers, self.parts, self.n, self.v = answers, parts, n, v
+        self.least = max(LEAST_CONTEXT, CONTEXT_SHARE * n**0.5)
         self.train = ~np.repeat(self.held_docs, self.sizes)
         self.starts = np.cumsum(self.sizes) - self.sizes
 
@@ -126,19 +130,19 @@ class Chunk:
                 own = order[a:b]
                 high = (keys[own] >> np.uint64(16)).view(np.uint8).reshape(-1, 8)[:, :6]
                 # the part has the low bits
-                yield kind, int(low[own[0]]), b - a, high.tobytes(), [_pack(s[own].astype(np.float64)) for s in sums]
+                yield kind, int(low[own[0]]), b - a, high.tobytes(), [_pack(s[own].astype(KIND[kind])) for s in sums]
 
     def _dealt(self, keys):
         low = (keys & np.uint64(self.parts - 1)).astype(np.int64)
         order = np.argsort(low, kind="stable")
         return order, np.searchsorted(low[order], np.arange(self.parts + 1)), low
 
-    def totals(self, kind: int, keys: np.ndarray, columns: int = 1) -> np.ndarray:
-        out = np.zeros((columns, len(keys)))
+    def totals(self, kind: int, keys: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(keys))
         order, cuts, _ = self._dealt(keys)
         for part, raw in self.answers.get(kind, {}).items():
             a, b = cuts[part], cuts[part + 1]
-            out[:, order[a:b]] = _unpack(raw, (b - a) * columns, np.float64).reshape(columns, -1)
+            out[order[a:b]] = _unpack(raw, b - a, KIND[kind])
         return out
 
     # each step gives what it asks, and keeps what later steps need
@@ -148,13 +152,13 @@ class Chunk:
         yield from self.ask(WORDS, self.words, [often])
 
     def know_words(self):
-        self.count = self.totals(WORDS, self.words)[0]
+        self.count = self.totals(WORDS, self.words)
         self.p0 = (self.count + 1) / (self.n + self.v + 1)
         c = self.count[self.codes]
         at = np.arange(len(self.codes))
         inner = np.ones(len(at), bool)
         inner[self.starts] = False
-        inner[1:] &= c[:-1] >= LEAST_CONTEXT
+        inner[1:] &= c[:-1] >= self.least
         self.at1 = np.flatnonzero(inner)
         self.context1 = self.words[self.codes[self.at1 - 1]]
         self.seen1 = c[self.at1] >= LEAST_SYMBOL
@@ -168,7 +172,7 @@ class Chunk:
 
     def _gram_totals(self, kind, grams):
         keys, place = np.unique(grams, return_inverse=True)
-        return self.totals(kind, keys)[0][place]
+        return self.totals(kind, keys)[place]
 
     def ask_pairs(self):
         yield from self._ask_grams(PAIRS, self.gram1[self.seen1], self.at1[self.seen1])
@@ -180,7 +184,7 @@ class Chunk:
         gram = np.zeros(len(self.codes), np.uint64)
         gram[self.at1] = self.gram1
         at = self.at1[self.at1 > 0]
-        self.at2 = at[total[at - 1] >= LEAST_CONTEXT]
+        self.at2 = at[total[at - 1] >= self.least]
         self.context2 = gram[self.at2 - 1]
         self.context_count2 = total[self.at2 - 1]
         self.seen2 = total[self.at2] >= LEAST_SYMBOL
@@ -191,17 +195,17 @@ class Chunk:
         keys, place = np.unique(contexts, return_inverse=True)
         kept = (totals >= LEAST_SYMBOL) & self.train[at]
         t = totals[kept]
-        gain = np.log((t - DISCOUNT) / counts[kept] / parent[kept])
-        sums = [np.bincount(place[kept], w, len(keys)) for w in (gain, 1 / t, np.ones(len(t)))]
+        gain = np.log((t - DISCOUNT) / counts[kept] / parent[kept]) - COST / t
+        sums = [np.bincount(place[kept], w, len(keys)) for w in (gain, 1 - DISCOUNT / t)]
         yield from self.ask(kind, keys, sums)
 
     def _node_probability(self, kind, contexts, counts, totals, parent):
         """Smoothed by the parent at kept nodes, the parent's elsewhere."""
         keys, place = np.unique(contexts, return_inverse=True)
-        gain, distinct, mass = self.totals(kind, keys, 3)[:, place]
-        keep = (distinct > 0.5) & (gain >= COST * distinct)
+        mass = self.totals(kind, keys)[place]
+        keep = mass > 0
         own = np.where(totals >= LEAST_SYMBOL, totals - DISCOUNT, 0)
-        back = 1 - (mass - DISCOUNT * distinct) / counts
+        back = np.maximum(1 - mass / counts, 1e-6)
         return np.where(keep, own / counts + back * parent, parent), keep
 
     def ask_nodes1(self):
@@ -256,20 +260,23 @@ def _requests(row_chunk: int, asked) -> pd.DataFrame:
 
 
 def _totals(asked: DataFrame) -> DataFrame:
-    """(chunk, kind, part, answer, sum, seen): each key's sums over all chunks, in the order asked."""
+    """(chunk, kind, part, answer, sum, seen): what each key's sums over all chunks say, in the order asked."""
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
+        kind = int(rows["kind"].iat[0])
         n = rows["n"].to_numpy(np.int64)
         wide = np.zeros((int(n.sum()), 8), np.uint8)
         wide[:, :6] = np.frombuffer(b"".join(rows["keys"]), np.uint8).reshape(-1, 6)
         keys, place = np.unique(wide.reshape(-1).view(np.uint64), return_inverse=True)
         columns = len(rows["sums"].iat[0])
         totals = [
-            np.bincount(place, np.concatenate([_unpack(s[c], k, np.float64) for s, k in zip(rows["sums"], n)]), len(keys))
+            np.bincount(place, np.concatenate([_unpack(s[c], k, KIND[kind]) for s, k in zip(rows["sums"], n)]), len(keys))
             for c in range(columns)
         ]
         ends = np.cumsum(n)
-        answers = [_pack(np.concatenate([t[place[a:b]] for t in totals])) for a, b in zip(ends - n, ends)]
+        # of a context: the discounted mass of its kept symbols, or 0 if its gain is below its cost
+        told = (np.where(totals[0] >= 0, totals[1], 0) if columns == 2 else totals[0]).astype(KIND[kind])[place]
+        answers = [_pack(told[a:b]) for a, b in zip(ends - n, ends)]
         first = np.arange(len(rows)) == 0
         return pd.DataFrame(
             {
