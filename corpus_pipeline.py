@@ -2,16 +2,44 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tickwarden import session
-from tickwarden.llm import bpe, common, simhash
+from tickwarden.llm import bpe, common, decontaminate, lines, simhash, toxicity
+
+
+def drop_toxic(spark, docs, sf_dir):
+    """Documents scored as toxic (0.5 or more) go; the model learns from the labelled ones of `docs`."""
+    common.ready(spark)
+    model = toxicity.train(docs, common.table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, out="_toxic").filter("_toxic < 0.5").select(*docs.columns)
+
+
+def drop_boilerplate_lines(spark, docs, sf_dir):
+    """Lines on many sites stay only where they stand first; documents that had nothing else go."""
+    common.ready(spark)
+    cleaned = lines.without_boilerplate(docs).filter("NOT emptied")
+    return cleaned.select(*[_chars(docs) if c == "n_chars" else F.col(c) for c in docs.columns])
+
+
+def _chars(docs):
+    changed = F.col("n_removed") > 0
+    return F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType).alias("n_chars")
 
 
 def drop_near_copies(spark, docs, sf_dir):
     """Of documents whose SimHash fingerprints are linked, the one with the smallest id stays."""
     common.ready(spark)
     kept = simhash.near_duplicates(docs).filter("kept").select("doc_id").distinct()
-    columns = docs.columns
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi").select(*columns)
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi").select(*docs.columns)
+
+
+def drop_contaminated(spark, docs, sf_dir):
+    """Documents of which benchmark windows cover a twentieth of the words or more go."""
+    common.ready(spark)
+    found = decontaminate.contamination(docs, common.table(spark, sf_dir, "benchmark"))
+    gone = found.filter("contaminated").select("doc_id").distinct()
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti").select(*docs.columns)
 
 
 def encode_texts(spark, docs, sf_dir):
@@ -21,11 +49,14 @@ def encode_texts(spark, docs, sf_dir):
 
 
 STAGES = [
-    ("simhash", drop_near_copies),
-    ("bpe", encode_texts),
+    ("toxicity", drop_toxic),
+    ("line dedup", drop_boilerplate_lines),
+    ("SimHash near-dedup", drop_near_copies),
+    ("benchmark decontamination", drop_contaminated),
+    ("byte-level BPE", encode_texts),
 ]
 
-# Trained scores cannot be said in SQL; tests hold the stages against brute force.
+# Trained scores and fingerprints cannot be said in SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
@@ -33,5 +64,5 @@ def run(spark, sf_dir):
     """The stages applied to documents."""
     docs = common.table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = session.stored(stage(spark, docs, sf_dir), f"corpus-{name}")
+        docs = session.stored(stage(spark, docs, sf_dir), "corpus-" + name.replace(" ", "-"))
     return docs

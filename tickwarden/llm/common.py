@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import functools
+import string
+
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tickwarden import session
 
@@ -69,3 +73,19 @@ def placed_by(df: DataFrame, key: str) -> DataFrame:
         return df.repartition(partitions(spark), key).checkpoint()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def lowered(text: Column) -> Column:
+    """A-Z in lower case, nothing else changed."""
+    return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+
+
+def same(left: DataFrame, right: DataFrame, *names: str) -> Column:
+    """Equal in all columns; NULLs are equal too."""
+    met = [left[n].eqNullSafe(right[n]) for n in names]
+    return functools.reduce(lambda a, b: a & b, met)
+
+
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """A stored table with a broadcast hint if it has at most `rows` rows, else as it is."""
+    return F.broadcast(df) if df.count() <= rows else df
