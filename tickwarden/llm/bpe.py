@@ -32,7 +32,7 @@ class MergeReplay:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.base = max(ranks.values()) + 1
-        self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         keys, results = [], []
         for token, rank in ranks.items():
             for cut in range(1, len(token)):
@@ -46,7 +46,7 @@ class MergeReplay:
 
     def merged(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of each pair's merge, NO_RANK where there is none."""
-        key = left * self.base + right
+        key = left.astype(np.int64) * self.base + right
         at = np.searchsorted(self.keys, key)
         return np.where(self.keys[at] == key, self.results[at], NO_RANK)
 
@@ -64,8 +64,8 @@ class MergeReplay:
         ends = np.cumsum(lengths)
         tokens = self.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
         size = len(tokens)
-        word = np.repeat(np.arange(len(words)), lengths)
-        after, before = np.arange(1, size + 1), np.arange(-1, size - 1)
+        word = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
+        after, before = np.arange(1, size + 1, dtype=np.int32), np.arange(-1, size - 1, dtype=np.int32)
         after[ends[lengths > 0] - 1] = -1
         before[(ends - lengths)[lengths > 0]] = -1
 
@@ -89,7 +89,7 @@ class MergeReplay:
                     index[rank] = [part]
                     heapq.heappush(waiting, rank)
 
-        start = np.flatnonzero(after >= 0)
+        start = np.flatnonzero(after >= 0).astype(np.int32)
         enter(start, self.merged(tokens[start], tokens[start + 1]))
         while waiting:
             rank = heapq.heappop(waiting)
@@ -141,9 +141,9 @@ class MergeReplay:
             risky[:] = True
         left, right = before[now], after[after[now]]
         some = left >= 0
-        risky[some] |= self.merged(tokens[left[some]], np.int64(rank)) < rank
+        risky[some] |= self.merged(tokens[left[some]], np.int32(rank)) < rank
         some = right >= 0
-        risky[some] |= self.merged(np.full(int(some.sum()), rank, np.int64), tokens[right[some]]) < rank
+        risky[some] |= self.merged(np.full(int(some.sum()), rank, np.int32), tokens[right[some]]) < rank
         if not risky.any():
             return now, skipped
         hold = np.isin(word[now], word[now[risky]]) & ~first

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tickwarden.llm import common
 
 WINDOW, SHINGLE = 13, 5
-# Benchmark shingles (16 bytes each) and keys of documents (16 bytes) that may be broadcast.
+# Benchmark shingles and keys of documents (16 bytes each) that may be broadcast; a tenth of it for prefixes (150 bytes).
 FEW_ROWS = 500_000
 _SPLIT = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -81,13 +81,14 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     prefix = common.stored(
         ranked.filter("rarest.often > 0").select("window", "size", "rarest.shingle", "rarest.offset"), "prefixes"
     )
-    found = met.join(common.small(prefix, FEW_ROWS), "shingle").withColumn("start", F.col("place") - F.col("offset"))
+    found = met.join(common.small(prefix, FEW_ROWS // 10), "shingle").withColumn("start", F.col("place") - F.col("offset"))
     found = found.filter((F.col("start") >= 0) & (F.col("start") + F.col("size") <= F.col("n_words")))
     found = found.groupBy("doc_id", "key").agg(F.collect_set(F.struct("start", "size", "window")).alias("found"))
     found = common.stored(found, "candidates")
 
-    keys = common.small(found, FEW_ROWS // 50)
-    texts = docs.join(keys, common.same(docs, keys, "doc_id", "key")).select(docs["doc_id"], docs["key"], "found", words(F.col("text")).alias("w"))
+    keys = common.small(found.select("doc_id", "key"), FEW_ROWS)
+    some = docs.join(keys, common.same(docs, keys, "doc_id", "key"), "left_semi")
+    texts = some.join(found, common.same(some, found, "doc_id", "key")).select(some["doc_id"], some["key"], "found", words(F.col("text")).alias("w"))
     equal = lambda c: F.array_join(F.slice(F.col("w"), c["start"] + 1, c["size"]), " ") == c["window"]
     exact = texts.select("doc_id", "key", F.filter("found", equal).alias("found")).filter(F.size("found") > 0)
     exact = common.stored(exact.dropDuplicates(["doc_id", "key"]), "contained")
