@@ -73,8 +73,11 @@ def metrics(matrix: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 def join_predictions(base: DataFrame, predictions: DataFrame, columns: Sequence[str],
                      on: str = "uuid") -> DataFrame:
-    """Bring predictions to their rows by id; rows without one get 0."""
-    slim = predictions.select(on, *columns)
+    """Bring predictions to their rows by id; rows without one get 0.
+
+    An id predicted more than once counts by its largest value, so no row is multiplied.
+    """
+    slim = predictions.groupBy(on).agg(*[F.max(c).alias(c) for c in columns])
     joined = base.join(slim, on, "left")
     return joined.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in columns})
 

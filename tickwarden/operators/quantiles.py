@@ -59,6 +59,11 @@ def _ranks(p: float, discrete: bool) -> tuple[Column, Column, Column]:
     return low, F.ceil(exact).cast("long"), exact - low
 
 
+def _between(low: Column, high: Column, blend: Column) -> Column:
+    """The blend of two values; exactly the value where they are equal."""
+    return F.when(low == high, low).otherwise(low * (1.0 - blend) + high * blend)
+
+
 def _by_rank(
     rows: DataFrame,
     keys: list[str],
@@ -120,7 +125,7 @@ def _by_rank(
         *keys,
         F.array(
             *[
-                F.element_at("_at", low) * (1.0 - blend) + F.element_at("_at", high) * blend
+                _between(F.element_at("_at", low), F.element_at("_at", high), blend)
                 for low, high, blend in wanted
             ]
         ).alias(name),

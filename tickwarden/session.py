@@ -43,9 +43,12 @@ def int_conf(spark: SparkSession, name: str, default: int) -> int:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names, or a new local one where none is named."""
+    """The shared folder the cluster names; in local mode a new one where none is named."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         named = tempfile.mkdtemp(prefix="tickwarden-")
         spark.conf.set("spark.checkpoint.dir", named)
     if spark.sparkContext.getCheckpointDir() is None:

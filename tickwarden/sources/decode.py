@@ -55,12 +55,18 @@ def decode(df: DataFrame, payload: str = "value", form: str = "json",
     )
 
 
-def explode_trades(messages: DataFrame, outer: bool = False) -> DataFrame:
+def explode_trades(messages: DataFrame, outer: bool = False, place: str | None = None) -> DataFrame:
     """One row per trade with the message's type; messages without trades give none.
 
-    `outer` keeps such messages as one row of NULLs.
+    `outer` keeps such messages as one row of NULLs.  `place` names a column for the trade's
+    place in its message.
     """
     each = F.explode_outer if outer else F.explode
+    if place is not None:
+        each = F.posexplode_outer if outer else F.posexplode
+        others = [c for c in messages.columns if c != "data"]
+        placed = messages.select(each("data").alias(place, "_trade"), *others)
+        return placed.select("_trade.*", place, *others)
     others = [c for c in messages.columns if c != "data"]
     return messages.select(each("data").alias("_trade"), *others).select("_trade.*", *others)
 

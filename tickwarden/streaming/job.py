@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,16 +13,27 @@ from tickwarden.operators import serve
 from tickwarden.operators.detectors import detect
 from tickwarden.operators.scope import Scope, by_columns
 from tickwarden.operators.series import Series
-from tickwarden.sources.decode import decode, explode_trades, normalise
+from tickwarden.sources.decode import content_id, decode, explode_trades, normalise
 from tickwarden.streaming.sinks import write_batch_table
 
 # Table names.
 TABLES = {"base": "stocks", "price": "price_anomalies", "volume": "volume_anomalies"}
 
 
-def trades_from_messages(stream: DataFrame, form: str = "json", payload: str = "value"
-                         ) -> DataFrame:
-    return normalise(explode_trades(decode(stream.select(payload), payload, form)))
+def trades_from_messages(stream: DataFrame, form: str = "json", payload: str = "value",
+                         position: Sequence[str] | None = None) -> DataFrame:
+    """Typed trades with an id each: equal trades differ by message and place in the message.
+
+    `position` names the columns that tell messages apart, by default those of topic,
+    partition and offset that are there.  Without any, equal messages give equal ids.
+    """
+    if position is None:
+        position = [c for c in ("topic", "partition", "offset") if c in stream.columns]
+    at = F.concat_ws(",", *[F.col(c).cast("string") for c in position])
+    messages = decode(stream.select(F.col(payload), at.alias("_position")), payload, form)
+    flat = explode_trades(messages, place="_place")
+    named = normalise(flat, content_id(F.concat_ws(",", "_position", "_place")))
+    return named.drop("_position", "_place")
 
 
 def process_batch(batch: DataFrame, batch_id: int, method: str, root: str,
@@ -33,6 +44,7 @@ def process_batch(batch: DataFrame, batch_id: int, method: str, root: str,
     that runs twice leaves one copy.
     """
     held = batch.persist()
+    flagged = None
     try:
         flagged = detect(held, method, ("price", "volume"), scope, series, **params).persist()
         counts = flagged.agg(
@@ -48,8 +60,9 @@ def process_batch(batch: DataFrame, batch_id: int, method: str, root: str,
         for kind, part in parts.items():
             if counts[kind] > 0:
                 write_batch_table(part, f"{root}/{tables[kind]}", batch_id, counts[kind])
-        flagged.unpersist()
     finally:
+        if flagged is not None:
+            flagged.unpersist()
         held.unpersist()
 
 

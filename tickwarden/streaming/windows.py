@@ -16,14 +16,15 @@ def window_zscore(
     threshold: float = 3.0,
     time: str = "trade_ts",
     keys: Sequence[str] = ("symbol",),
-    spread: int = 16,
+    spread: int | None = None,
 ) -> DataFrame:
     """Z-score flags within tumbling event-time windows, emitted when a window closes.
 
     Window statistics are a streaming aggregate, joined back to the window's rows.  Rows of a
-    hot key are dealt over `spread` join partitions and the few statistics rows repeated, so
-    no window is ever collected.  Rows later than `late` are dropped by the watermark.
+    hot key are dealt over `spread` join partitions (all of them by default) and the few
+    statistics rows repeated, so no window is ever collected.  NULL keys form a key of their own.  Rows later than `late` are dropped by the watermark.
     """
+    spread = spread or int(trades.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     marked = trades.withWatermark(time, late)
     framed = F.window(time, width)
     stats = (
@@ -42,7 +43,8 @@ def window_zscore(
     )
     same = (F.col("window") == F.col("_framed")) & (F.col("_part") == F.col("_deal"))
     for k in keys:
-        same = same & (F.col(k) == F.col(f"_on_{k}"))
+        # structs, as NULLs inside are equal
+        same = same & (F.struct(F.col(k).alias("k")) == F.struct(F.col(f"_on_{k}").alias("k")))
     joined = rows.join(stats, same, "inner")
     flags = {
         f"{c}_flag": F.coalesce(
