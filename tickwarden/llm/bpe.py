@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import itertools
 
 import numpy as np
 import pyarrow as pa
@@ -14,9 +15,9 @@ from pyspark.sql import functions as F
 from tickwarden.llm import common
 
 # Characters of the documents that are encoded together.
-BLOCK_CHARS = 24_000_000
+BLOCK_CHARS = 12_000_000
 # Distinct words a task remembers.
-MEMORY_WORDS = 1_500_000
+MEMORY_WORDS = 400_000
 NO_RANK = np.iinfo(np.int32).max
 
 
@@ -52,14 +53,23 @@ class MergeReplay:
 
     def encode(self, words: list[bytes]) -> list[list[int]]:
         """The ids of each word, as merging its lowest-ranked, leftmost pair again and again gives them."""
-        out: list[list[int] | None] = [[self.ranks[w]] if w in self.ranks else None for w in words]
-        rest = [i for i, ids in enumerate(out) if ids is None]
-        if rest:
-            for i, ids in zip(rest, self._replay([words[i] for i in rest])):
-                out[i] = ids
-        return out
-
-    def _replay(self, words: list[bytes]) -> list[list[int]]:
+        flat, sizes = self.encode_flat(words)
+        ends = np.cumsum(sizes)
+        return [flat[a:b].tolist() for a, b in zip(ends - sizes, ends)]
+
+    def encode_flat(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, one after the other, and how many each has."""
+        whole = np.array([self.ranks.get(w, -1) for w in words], np.int32)
+        rest = np.flatnonzero(whole < 0)
+        sizes = np.ones(len(words), np.int64)
+        merged, sizes[rest] = self._replay([words[i] for i in rest]) if len(rest) else (whole[:0], 0)
+        starts = np.cumsum(sizes) - sizes
+        flat = np.empty(int(sizes.sum()), np.int32)
+        flat[starts[whole >= 0]] = whole[whole >= 0]
+        flat[_runs(starts[rest], sizes[rest])] = merged
+        return flat, sizes
+
+    def _replay(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         lengths = np.array([len(w) for w in words], np.int64)
         ends = np.cumsum(lengths)
         tokens = self.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
@@ -119,9 +129,7 @@ class MergeReplay:
                 places = np.unique(places)
                 enter(places, self.merged(tokens[places], tokens[after[places]]))
         kept = tokens >= 0
-        cuts = np.cumsum(np.bincount(word[kept], minlength=len(words)))
-        flat = tokens[kept].tolist()
-        return [flat[a:b] for a, b in zip([0, *cuts.tolist()], cuts.tolist())]
+        return tokens[kept], np.bincount(word[kept], minlength=len(words))
 
     def _together(self, rank, at, tokens, after, before, word):
         """The places merged now, and those to look at again.
@@ -164,17 +172,17 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
     def run(batches):
         split, replay = regex.compile(pattern), MergeReplay(ranks)
         places: dict[str, int] = {}
-        known: list[list[int]] = []
+        flat, sizes = np.zeros(0, np.int32), np.zeros(0, np.int64)
         block, chars = [], 0
 
         def flush():
-            fresh = list(places)[len(known) :]
-            known.extend(replay.encode([w.encode("utf-8", "surrogatepass") for w in fresh]))
-            sizes = np.array([len(k) for k in known], np.int64)
+            nonlocal flat, sizes
+            fresh = itertools.islice(places, len(sizes), None)
+            more, each = replay.encode_flat([w.encode("utf-8", "surrogatepass") for w in fresh])
+            flat, sizes = np.concatenate([flat, more]), np.concatenate([sizes, each])
             starts = np.cumsum(sizes) - sizes
-            flat = np.fromiter((i for k in known for i in k), np.int32, int(sizes.sum()))
             for batch, words in block:
-                ids = [_spread(flat, starts[w], sizes[w]) for w in words]
+                ids = [flat[_runs(starts[w], sizes[w])] for w in words]
                 offsets = np.cumsum([0, *[len(i) for i in ids]])
                 values = pa.array(np.concatenate([*ids, np.zeros(0, np.int32)]), pa.int32())
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
@@ -194,19 +202,16 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
                 yield from flush()
                 block, chars = [], 0
                 if len(places) > MEMORY_WORDS:
-                    places, known = {}, []
+                    places, flat, sizes = {}, flat[:0], sizes[:0]
         yield from flush()
 
     return docs.select(*kept).mapInArrow(run, f"{schema}, `{out}` array<int>")
 
 
-def _spread(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The runs flat[start : start + size], one after the other."""
-    total = int(sizes.sum())
-    if not total:
-        return np.zeros(0, np.int32)
+def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of runs of these sizes, one after the other."""
     shift = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
-    return flat[shift + np.arange(total)]
+    return shift + np.arange(len(shift))
 
 
 def decode(docs: DataFrame, ranks: dict[bytes, int], ids: str = "ids", out: str = "decoded") -> DataFrame:
