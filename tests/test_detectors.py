@@ -278,8 +278,21 @@ def test_degenerate_input_never_flags(spark, name, method):
     params = {} if method not in ("prominence", "neighbour") else {"threshold": 1.5}
     out = detect(df, method, **params).select("uuid", "price_flag", "volume_flag").collect()
     assert len(out) == len(DEGENERATE[name])
-    if name != "null runs" or method not in ("arima",):  # NULLs count as 0 there, so runs jump
-        assert not any(r.price_flag or r.volume_flag for r in out)
+    assert not any(r.price_flag or r.volume_flag for r in out)
+
+
+@BOTH
+@pytest.mark.parametrize("scope", [whole(), rows(80)])
+def test_arima_passes_over_missing_values(spark, chunk, scope):
+    """Flags are those of the rows with a value alone; a missing value is no jump to zero."""
+    df = walk(spark, 400, (150, 301)).withColumn("price", F.col("price") + 1000)
+    gone = F.col("uuid").isin("0040", "0041", "0200", "0399")
+    holed = df.withColumn("price", F.when(~gone, F.col("price")))
+    found = flags(detect(holed, "arima", ("price",), scope))
+    assert len(found) == 400 and not any(found[u] for u in ("0040", "0041", "0042", "0200", "0201", "0399"))
+    assert found["0150"] and found["0301"]
+    if scope == whole():
+        assert {u for u, f in found.items() if f} == {u for u, f in flags(detect(df.filter(~gone), "arima", ("price",))).items() if f}
 
 
 @pytest.mark.parametrize("method", ["zscore", "iqr", "neighbour", "sliding", "arima"])

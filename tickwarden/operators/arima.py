@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickwarden import session
+from tickwarden.functions.missing import number
 from tickwarden.operators.scope import Scope, Scoped, scoped, whole
 from tickwarden.operators.series import (
     Layout,
@@ -148,14 +149,14 @@ def fit_many(w: np.ndarray, back: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _flags_of_arrays(threshold: float, include_first: bool):
     @F.pandas_udf(T.ArrayType(T.BooleanType()))
     def judge(arrays: pd.Series) -> pd.Series:
-        flags = pd.Series([None] * len(arrays), dtype=object)
-        sizes = arrays.map(len)
+        values = arrays.map(lambda v: np.asarray(v, dtype=float))
+        there = values.map(lambda v: ~np.isnan(v))
+        flags = there.map(lambda t: np.zeros(len(t), dtype=bool))
+        sizes = there.map(np.count_nonzero)
         for size, index in sizes.groupby(sizes).groups.items():
             if size <= LEAST_STEPS:
-                for i in index:
-                    flags[i] = [False] * size
                 continue
-            x = np.stack([np.asarray(arrays[i], dtype=float) for i in index], axis=1)
+            x = np.stack([values[i][there[i]] for i in index], axis=1)
             w = np.diff(x, axis=0)
             back = np.vstack([np.zeros(w.shape[1]), w[:-1]])
             phi, theta = fit_many(w, back)
@@ -170,8 +171,8 @@ def _flags_of_arrays(threshold: float, include_first: bool):
             if not include_first:
                 hit = np.vstack([np.zeros(w.shape[1], dtype=bool), hit])
             for column, i in enumerate(index):
-                flags[i] = hit[:, column].tolist()
-        return flags
+                flags[i][there[i]] = hit[:, column]
+        return flags.map(np.ndarray.tolist)
 
     return judge
 
@@ -185,7 +186,7 @@ def _short_scopes(s: Scoped, columns: Sequence[str], threshold: float, include_f
     grouped = s.df.groupBy(*s.keys).agg(F.sort_array(F.collect_list(row)).alias("_rows"))
 
     def values_of(c: str) -> Column:
-        return F.transform("_rows", lambda r: F.coalesce(r["row"][c].cast("double"), F.lit(0.0)))
+        return F.transform("_rows", lambda r: r["row"][c].cast("double"))
 
     values = {c: values_of(c) for c in columns}
     judged = grouped.withColumns({f"_f_{c}": judge(v) for c, v in values.items()})
@@ -198,8 +199,11 @@ def _short_scopes(s: Scoped, columns: Sequence[str], threshold: float, include_f
 
 
 def _steps(df: DataFrame, layout: Layout, column: str) -> DataFrame:
-    """(keys, order, _pos, _w, _back) for every row that has a difference."""
-    x = F.coalesce(F.col(column).cast("double"), F.lit(0.0))
+    """(keys, order, _pos, _w, _back) for every row that has a difference.
+
+    Rows without a value are passed over: the next difference is from the last value there was.
+    """
+    x = number(column)
 
     def add(d: DataFrame, w: WindowSpec) -> DataFrame:
         one, two = F.lag("_x", 1).over(w), F.lag("_x", 2).over(w)
@@ -208,7 +212,7 @@ def _steps(df: DataFrame, layout: Layout, column: str) -> DataFrame:
         )
 
     slim = df.select(*dict.fromkeys((*layout.series.keys, *layout.series.order)), x.alias("_x"))
-    placed = with_position(slim, layout, "_pos")
+    placed = with_position(slim.filter("_x IS NOT NULL"), layout, "_pos")
     return sliding(placed, layout, 2, 0, add, "_pos").filter(F.col("_w").isNotNull())
 
 
@@ -344,9 +348,9 @@ def _residuals_by_chunk(steps: DataFrame, keys: list[str], order: list[str], lay
 def arima_residuals(df: DataFrame, column: str, series: Series = Series(),
                     fixed: tuple[float, float] | None = None, layout: Layout | None = None
                     ) -> DataFrame:
-    """(keys, order columns, residual) from the second row of each series on.
+    """(keys, order columns, residual) from the second value of each series on.
 
-    `fixed` gives (phi, theta) instead of fitting them.  NULL values count as 0.
+    `fixed` gives (phi, theta) instead of fitting them.  Rows whose value is NULL or NaN are passed over.
     """
     layout = layout or plan_layout(df, series)
     steps = _steps(df, layout, column)
@@ -365,7 +369,8 @@ def arima(df: DataFrame, columns: Sequence[str], scope: Scope = whole(),
           ) -> DataFrame:
     """Flag rows whose residual exceeds `threshold` sample deviations of the residuals.
 
-    A scope too short to fit flags nothing.  The first row has no difference; with
+    A scope too short to fit flags nothing, and neither does a row without a value, which the
+    residuals of later rows pass over.  The first row has no difference; with
     `include_first` its residual is its own value, which nearly always flags it.
     """
     s = scoped(df, series, scope)
