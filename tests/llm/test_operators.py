@@ -103,6 +103,24 @@ def test_suffix_tree_probabilities_against_plain_counts(spark, monkeypatch):
         assert got[i] == pytest.approx(sum(math.log10(p(s, j)) for j in range(len(s))), rel=1e-5)
 
 
+def test_suffix_tree_contexts_do_not_depend_on_the_size_of_the_corpus():
+    """A word and a pair seen 12 times are contexts among a thousand training tokens and among 5 billion."""
+    pack = suffix_tree._pack
+    row = {
+        "sizes": np.array([5], np.int64).tobytes(), "ids": np.array([1], np.int64).tobytes(), "named": np.array([True]).tobytes(),
+        "held": np.array([False]).tobytes(), "words": np.array([11, 22, 33, suffix_tree.END], np.uint64).tobytes(),
+        "codes": pack(np.array([0, 1, 2, 1, 3], np.uint32)),
+    }
+    for n in (1e3, 1e8, 5e9):
+        counts = {suffix_tree.WORDS: {0: pack(np.array([12, 12, 11, 12.0]))}, suffix_tree.PAIRS: {0: pack(np.array([12, 12, 12], np.float32))}}
+        chunk = suffix_tree.Chunk(row, counts, 1, n, 4)
+        with np.errstate(over="ignore"):
+            chunk.know_words()
+            assert chunk.at1.tolist() == [1, 2, 4]
+            chunk.know_pairs()
+        assert chunk.at2.tolist() == [2]
+
+
 def test_toxicity_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.1"
     got = catalog.QUERIES["op3_toxicity"](spark, sf)

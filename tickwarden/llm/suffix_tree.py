@@ -25,9 +25,9 @@ from tickwarden.llm import common
 CHUNK_TOKENS = 2_000_000
 # Tokens of the corpus for each part of the key space.
 PART_TOKENS = 1 << 20
-# Occurrences in training of a context that may become a node: so many, and CONTEXT_SHARE times the root of
-# all training tokens, so that the tree grows with the corpus but slower.  Occurrences of a symbol kept after it.
-LEAST_CONTEXT, CONTEXT_SHARE, LEAST_SYMBOL = 12, 1 / 400, 2
+# Occurrences in training of a context that may become a node, whatever the size of the corpus, and of a
+# symbol kept after it.
+LEAST_CONTEXT, LEAST_SYMBOL = 12, 2
 # Gain in nats for each kept symbol, below which a node is not kept; share of a count given to the parent.
 COST, DISCOUNT = 2.0, 0.75
 END = xxhash.xxh64_intdigest(b"")
@@ -118,7 +118,6 @@ class Chunk:
         self.words = np.frombuffer(row["words"], np.uint64)
         self.codes = _unpack(row["codes"], int(self.sizes.sum()), np.uint32)
         self.answers, self.parts, self.n, self.v = answers, parts, n, v
-        self.least = max(LEAST_CONTEXT, CONTEXT_SHARE * n**0.5)
         self.train = ~np.repeat(self.held_docs, self.sizes)
         self.starts = np.cumsum(self.sizes) - self.sizes
 
@@ -158,7 +157,7 @@ class Chunk:
         at = np.arange(len(self.codes))
         inner = np.ones(len(at), bool)
         inner[self.starts] = False
-        inner[1:] &= c[:-1] >= self.least
+        inner[1:] &= c[:-1] >= LEAST_CONTEXT
         self.at1 = np.flatnonzero(inner)
         self.context1 = self.words[self.codes[self.at1 - 1]]
         self.seen1 = c[self.at1] >= LEAST_SYMBOL
@@ -184,7 +183,7 @@ class Chunk:
         gram = np.zeros(len(self.codes), np.uint64)
         gram[self.at1] = self.gram1
         at = self.at1[self.at1 > 0]
-        self.at2 = at[total[at - 1] >= self.least]
+        self.at2 = at[total[at - 1] >= LEAST_CONTEXT]
         self.context2 = gram[self.at2 - 1]
         self.context_count2 = total[self.at2 - 1]
         self.seen2 = total[self.at2] >= LEAST_SYMBOL
