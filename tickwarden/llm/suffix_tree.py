@@ -5,8 +5,8 @@ from its parent's by enough for what it costs; next-symbol probabilities are smo
 position is scored by the longest kept suffix of what stands before it.
 
 The model grows with the corpus, so it is neither gathered nor broadcast.  Documents lie in chunks of a
-bounded number of tokens.  A chunk sends its distinct keys (64-bit hashes of words, word sequences or
-contexts) with its own sums; each key's total over the corpus comes back in the order asked.  Counting and looking
+bounded number of tokens.  A chunk sends its distinct keys (48 bits and the part of the 64-bit hashes of
+words, word sequences or contexts) with its own sums; each key's total over the corpus comes back in the order asked.  Counting and looking
 up are thus one exchange, in which a key occurs at most once per chunk, however frequent it is.
 """
 
@@ -296,7 +296,8 @@ def score(docs: DataFrame, train: str, doc_id: str = "doc_id", text: str = "text
     ASCII white space, A-Z lowered, and an end.  base_score is the add-one unigram log10 probability, score
     the tree's.  NULL and blank texts are an end alone.  Other columns are ignored, repeated rows count
     each, an empty table gives no rows.  Without training rows every symbol has probability 1.
-    Words are told apart by 64-bit hashes: n distinct words collide with probability n**2 / 2**65.
+    Words and contexts are told apart by 48 + log2(parts) bits of their hashes (52 at least), as keys travel
+    without the rest: of n keys about n**2 / 2**(49 + log2(parts)) pairs collide, and their counts are added.
     `docs` must read the same each time (a stored table), as lost tasks are run again.
     """
     spark = docs.sparkSession
