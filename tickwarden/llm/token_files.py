@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import bisect
 import io
+import itertools
 import struct
 import uuid
 import zlib
@@ -27,8 +28,10 @@ FILE_BYTES = 32_000_000
 # Ids that a reading task decodes at once (a longer document is decoded by itself).
 DECODE_IDS = 2_000_000
 # Characters of the documents that are encoded together, and distinct words a task remembers.
-BLOCK_CHARS = 12_000_000
-MEMORY_WORDS = 400_000
+BLOCK_CHARS = 6_000_000
+MEMORY_WORDS = 600_000
+# Pieces that go to the tokenizer as one text.
+TOGETHER = 200
 MAGIC = b"IDHUFF01"
 HEAD = "<8sII6Q"
 # Fixed value: how the byte-level tokenizer cuts a text into words.
@@ -47,10 +50,11 @@ class _Numbered(dict):
 
 
 class WordCoder:
-    """Ids of whole texts; each distinct word of the texts is given to the tokenizer once.
+    """Ids of whole texts; each distinct piece of the texts is given to the tokenizer once.
 
     Texts are cut before every single space that stands before something else than white space: there the tokenizer
-    cuts too, whatever stands around, so the ids of the parts are the ids of the text.  A byte-level tokenizer
+    cuts too, whatever stands around, so the ids of these words are the ids of the text.  Words of Latin letters,
+    digits and signs are cut on into the tokenizer's own pieces, others are left to it whole.  A byte-level tokenizer
     without normalizer is required.
     """
 
@@ -58,25 +62,21 @@ class WordCoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer)
-        self.model = self.tokenizer.model
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.uneven = regex.compile(r" (?:\s|$)")
-        self.pieces = regex.compile(_PIECES)
-        visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        self.letters = dict(zip(visible, map(chr, visible)))
-        self.letters |= {b: chr(256 + n) for n, b in enumerate(sorted(set(range(256)) - set(visible)))}
+        self.cut = regex.compile(_PIECES)
         self.forget()
 
     def forget(self):
-        self.places, self.piece_ids = _Numbered(), {}
-        self.flat, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64)
+        self.words, self.pieces = _Numbered(), _Numbered()
+        self.of_word, self.of_piece = Lists(), Lists()
 
-    def words(self, text: str) -> np.ndarray:
+    def numbers(self, text: str) -> np.ndarray:
         """Numbers of the words.  A word is known by what follows its space, or as (word,) if it has none."""
         if not text:
             return np.zeros(0, np.int64)
         if any(a in text for a in self.added):  # the tokenizer finds these before it cuts
-            return np.array([self.places[text,]])
+            return np.array([self.words[text,]])
         first, *rest = text.split(" ")
         if self.uneven.search(text):
             joined = [first]
@@ -87,43 +87,95 @@ class WordCoder:
                     joined[-1] += " " + part
             first, *rest = joined
         numbers = np.empty(len(rest) + 1, np.int64)
-        numbers[0] = self.places[first,]
-        numbers[1:] = np.fromiter(map(self.places.__getitem__, rest), np.int64, len(rest))
+        numbers[0] = self.words[first,]
+        numbers[1:] = np.fromiter(map(self.words.__getitem__, rest), np.int64, len(rest))
         return numbers
 
-    def _ids(self, word) -> list[int]:
+    def _pieces(self, word) -> list:
         text = word[0] if isinstance(word, tuple) else " " + word
         if max(text, default="") >= "ɐ" or (isinstance(word, tuple) and any(a in text for a in self.added)):
-            return self.tokenizer.encode(text, add_special_tokens=False).ids
-        out = []
-        for piece in self.pieces.findall(text):
-            if piece not in self.piece_ids:
-                seen = piece.encode().decode("latin-1").translate(self.letters)
-                self.piece_ids[piece] = [t.id for t in self.model.tokenize(seen)]
-            out += self.piece_ids[piece]
-        return out
+            return [(text,)]
+        return self.cut.findall(text)
 
     def learn(self) -> None:
         """Encode the words met since."""
-        fresh = [self._ids(w) for w in list(self.places)[len(self.sizes) :]]
-        self.sizes = np.concatenate([self.sizes, np.array([len(i) for i in fresh], np.int64)])
-        self.flat = np.concatenate([self.flat, np.array([x for i in fresh for x in i], np.int32)])
-        self.starts = np.cumsum(self.sizes) - self.sizes
-
-    def ids(self, numbers: np.ndarray) -> np.ndarray:
-        sizes = self.sizes[numbers]
-        shift = np.repeat(self.starts[numbers] - (np.cumsum(sizes) - sizes), sizes)
-        return self.flat[shift + np.arange(len(shift))]
-
-
-def token_ids(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, tie, row, ids): the ids (array<int>) of each whole text and the end id.
+        numbers, counts = [], []
+        for word in itertools.islice(self.words, len(self.of_word.sizes), None):
+            if type(word) is str and word.isalpha():
+                numbers.append(self.pieces[" " + word])
+                counts.append(1)
+            else:
+                found = self._pieces(word)
+                numbers += [self.pieces[p] for p in found]
+                counts.append(len(found))
+        fresh = list(itertools.islice(self.pieces, len(self.of_piece.sizes), None))
+        self._encode(fresh)
+        of = np.array(numbers, np.int64)
+        ids, sizes = self.of_piece.take(of)
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        last = np.cumsum(np.array(counts, np.int64))
+        self.of_word.extend(ids, ends[last] - ends[last - np.array(counts, np.int64)])
+
+    def _encode(self, pieces: list) -> None:
+        """The ids of pieces.  Those after a space go to the tokenizer many at a time."""
+        spaced = [i for i, p in enumerate(pieces) if type(p) is str and p[0] == " " and p[1:2].strip()]
+        alone = set(range(len(pieces))).difference(spaced)
+        order, flat, sizes = [], [], []
+        for a in range(0, len(spaced), TOGETHER):
+            own = spaced[a : a + TOGETHER]
+            found = self.tokenizer.encode("".join([pieces[i] for i in own]), add_special_tokens=False)
+            many = np.bincount(found.word_ids, minlength=len(own))
+            if len(many) == len(own):
+                order += own
+                flat += found.ids
+                sizes.append(many)
+            else:
+                alone.update(own)
+        for i in alone:
+            found = self.tokenizer.encode(pieces[i] if type(pieces[i]) is str else pieces[i][0], add_special_tokens=False).ids
+            order.append(i)
+            flat += found
+            sizes.append([len(found)])
+        self.of_piece.extend(np.array(flat, np.int32), np.concatenate([np.zeros(0, np.int64), *sizes]), np.array(order, np.int64))
+
+
+class Lists:
+    """Lists of ids, one after the other."""
+
+    def __init__(self):
+        self.flat, self.sizes, self.starts = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def extend(self, flat: np.ndarray, sizes: np.ndarray, order: np.ndarray | None = None) -> None:
+        """Append lists; `order`: which of the new numbers each has."""
+        starts = len(self.flat) + np.cumsum(sizes) - sizes
+        if order is not None:
+            back = np.empty_like(order)
+            back[order] = np.arange(len(order))
+            sizes, starts = sizes[back], starts[back]
+        self.flat = np.concatenate([self.flat, flat])
+        self.sizes, self.starts = np.concatenate([self.sizes, sizes]), np.concatenate([self.starts, starts])
+
+    def take(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The lists at `at`, joined, and their sizes."""
+        sizes = self.sizes[at]
+        shift = np.repeat(self.starts[at] - (np.cumsum(sizes) - sizes), sizes)
+        return self.flat[shift + np.arange(len(shift))], sizes
+
+
+def id_type(vocabulary: int) -> str:
+    """How ids lie in `token_ids`."""
+    return "<u2" if vocabulary <= 1 << 16 else "<u4"
+
+
+def token_ids(docs: DataFrame, tokenizer: str, end_id: int, vocabulary: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, tie, row, ids): the ids (binary, see `id_type`) of each whole text and the end id.
 
     `tokenizer`: the JSON text of a byte-level tokenizer.  NULL and empty texts have just the end id.  tie and row
     order rows of the same id: by a hash of the text, then as they were read.
     """
     named = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     named = named.select("doc_id", F.xxhash64("text").alias("tie"), F.monotonically_increasing_id().alias("row"), "text")
+    kind = id_type(vocabulary)
 
     def run(batches):
         coder = WordCoder(tokenizer)
@@ -132,24 +184,28 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str = "doc_i
         def flush():
             coder.learn()
             for batch, words in block:
-                ids = [np.append(coder.ids(w), np.int32(end_id)) for w in words]
-                offsets = np.cumsum([0, *map(len, ids)])
-                values = pa.array(np.concatenate([*ids, np.zeros(0, np.int32)]), pa.int32())
-                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
-                yield pa.RecordBatch.from_arrays([*batch.columns, lists], ["doc_id", "tie", "row", "ids"])
+                ids = [np.append(coder.of_word.take(w)[0], np.int32(end_id)).astype(kind).tobytes() for w in words]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary())], ["doc_id", "tie", "row", "ids"])
 
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            block.append((batch.select(["doc_id", "tie", "row"]), [coder.words(t) for t in texts]))
+            block.append((batch.select(["doc_id", "tie", "row"]), [coder.numbers(t) for t in texts]))
             chars += sum(len(t or "") for t in texts)
             if chars >= BLOCK_CHARS:
                 yield from flush()
                 block, chars = [], 0
-                if len(coder.places) > MEMORY_WORDS:
+                if len(coder.words) > MEMORY_WORDS:
                     coder.forget()
         yield from flush()
 
-    return named.mapInArrow(run, "doc_id long, tie long, row long, ids array<int>")
+    return named.mapInArrow(run, "doc_id long, tie long, row long, ids binary")
+
+
+def _lists(column: pa.Array, vocabulary: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of a batch of `token_ids`, joined, and how many each row has."""
+    kind = np.dtype(id_type(vocabulary))
+    parts = column.to_pylist()
+    return np.frombuffer(b"".join(parts), kind), np.array([len(p) // kind.itemsize for p in parts], np.int64)
 
 
 # ---- codes -------------------------------------------------------------------------------------
@@ -277,9 +333,7 @@ def write(ids: DataFrame, folder: str, vocabulary: int) -> DataFrame:
 
     def coded(batches):
         for batch in batches:
-            lists = batch.column("ids")
-            counts = np.diff(lists.offsets.to_numpy()).astype(np.int64)
-            flat = lists.flatten().to_numpy(zero_copy_only=False)
+            flat, counts = _lists(batch.column("ids"), vocabulary)
             data, sizes, marks = pack(flat, counts, codes, lengths)
             ends, blocks = np.cumsum(sizes), -(-counts // BLOCK)
             to = np.cumsum(blocks)
@@ -332,7 +386,7 @@ def _counts(ids: DataFrame, vocabulary: int) -> np.ndarray:
     def run(batches):
         found = np.zeros(vocabulary, np.int64)
         for batch in batches:
-            found += np.bincount(batch.column("ids").flatten().to_numpy(zero_copy_only=False), minlength=vocabulary)
+            found += np.bincount(_lists(batch.column("ids"), vocabulary)[0], minlength=vocabulary)
         some = np.flatnonzero(found)
         yield pa.RecordBatch.from_pydict({"id": pa.array(some, pa.int64()), "n": pa.array(found[some], pa.int64())})
 
@@ -456,7 +510,7 @@ def encode(docs: DataFrame, tokenizer: str, folder: str, end_id: int, doc_id: st
     spark = docs.sparkSession
     vocabulary = max(Tokenizer.from_str(tokenizer).get_vocab_size(), end_id + 1)
     path = session.scratch_path(spark, "llm-ids")
-    token_ids(docs, tokenizer, end_id, doc_id, text).write.option("compression", "zstd").parquet(path)
+    token_ids(docs, tokenizer, end_id, vocabulary, doc_id, text).write.option("compression", "zstd").parquet(path)
     return write(spark.read.parquet(path), folder, vocabulary)
 
 
