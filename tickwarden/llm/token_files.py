@@ -11,6 +11,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyarrow import fs
 from pyspark.sql import DataFrame, Window
@@ -27,16 +28,20 @@ BLOCK = 512
 FILE_BYTES = 32_000_000
 # Ids that a reading task decodes at once (a longer document is decoded by itself).
 DECODE_IDS = 2_000_000
-# Characters of the documents that are encoded together, and distinct words a task remembers.
-BLOCK_CHARS = 6_000_000
+# Bytes of the texts that are encoded together, and distinct words a task remembers.
+BLOCK_BYTES = 16_000_000
 MEMORY_WORDS = 600_000
 # Pieces that go to the tokenizer as one text.
 TOGETHER = 200
+SIGNS = frozenset(".,;:!?")
 MAGIC = b"IDHUFF01"
 HEAD = "<8sII6Q"
 # Fixed value: how the byte-level tokenizer cuts a text into words.
 _PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+# A space before any white space or at the end.
+_UNEVEN = r" (?:[\s\x0b\x{85}\p{Z}]|$)"
+
 
 # ---- ids ---------------------------------------------------------------------------------------
 
@@ -72,7 +77,7 @@ class WordCoder:
         self.of_word, self.of_piece = Lists(), Lists()
 
     def numbers(self, text: str) -> np.ndarray:
-        """Numbers of the words.  A word is known by what follows its space, or as (word,) if it has none."""
+        """Numbers of any text's words.  A word is known by what follows its space, or as (word,) if it has none."""
         if not text:
             return np.zeros(0, np.int64)
         if any(a in text for a in self.added):  # the tokenizer finds these before it cuts
@@ -91,6 +96,23 @@ class WordCoder:
         numbers[1:] = np.fromiter(map(self.words.__getitem__, rest), np.int64, len(rest))
         return numbers
 
+    def number_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the words of all `texts`, none of them empty or odd, and how many each has."""
+        lists = pc.split_pattern(texts, " ")
+        starts, flat = lists.offsets.to_numpy()[:-1] - lists.offsets[0].as_py(), lists.flatten()
+        coded = flat.dictionary_encode()
+        known = np.fromiter(map(self.words.__getitem__, coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))
+        numbers = known[coded.indices.to_numpy()]
+        numbers[starts] = [self.words[first,] for first in flat.take(pa.array(starts)).to_pylist()]
+        return numbers, np.diff(np.append(starts, len(numbers)))
+
+    def odd(self, texts: pa.Array) -> np.ndarray:
+        """Which texts hold a space before white space or the end, or a token that the tokenizer knows by name."""
+        found = pc.match_substring_regex(texts, _UNEVEN)
+        for token in self.added:
+            found = pc.or_(found, pc.match_substring(texts, token))
+        return found.to_numpy(zero_copy_only=False)
+
     def _pieces(self, word) -> list:
         text = word[0] if isinstance(word, tuple) else " " + word
         if max(text, default="") >= "ɐ" or (isinstance(word, tuple) and any(a in text for a in self.added)):
@@ -104,6 +126,9 @@ class WordCoder:
             if type(word) is str and word.isalpha():
                 numbers.append(self.pieces[" " + word])
                 counts.append(1)
+            elif type(word) is str and word.isascii() and word[-1:] in SIGNS and word[:-1].isalpha():
+                numbers += self.pieces[" " + word[:-1]], self.pieces[word[-1]]
+                counts.append(2)
             else:
                 found = self._pieces(word)
                 numbers += [self.pieces[p] for p in found]
@@ -179,24 +204,39 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int, vocabulary: int, doc
 
     def run(batches):
         coder = WordCoder(tokenizer)
-        block, chars = [], 0
 
-        def flush():
+        def coded(block):
+            rows = pa.Table.from_batches(block).combine_chunks()
+            texts = pc.fill_null(rows.column("text"), "").combine_chunks()
+            size = pc.binary_length(texts).to_numpy()
+            odd = coder.odd(texts)
+            plain, others, empty = (np.flatnonzero(x) for x in (~odd & (size > 0), odd, size == 0))
+            numbers, words = coder.number_all(texts.take(pa.array(plain))) if len(plain) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+            more = [coder.numbers(t) for t in texts.take(pa.array(others)).to_pylist()]
             coder.learn()
-            for batch, words in block:
-                ids = [np.append(coder.of_word.take(w)[0], np.int32(end_id)).astype(kind).tobytes() for w in words]
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary())], ["doc_id", "tie", "row", "ids"])
-
+            ids, sizes = coder.of_word.take(np.concatenate([numbers, *more]))
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            last = np.cumsum(np.concatenate([words, [len(m) for m in more], np.zeros(len(empty), np.int64)]).astype(np.int64))
+            bounds = ends[last]
+            ids = np.insert(ids, bounds, end_id).astype(kind)
+            places = np.concatenate([[0], bounds + np.arange(1, len(bounds) + 1)]) * ids.itemsize
+            lists = pa.Array.from_buffers(pa.large_binary(), len(bounds), [None, pa.py_buffer(places.astype(np.int64)), pa.py_buffer(ids)])
+            at = pa.array(np.concatenate([plain, others, empty]))
+            names = ["doc_id", "tie", "row"]
+            made = pa.table([*(rows.column(n).take(at) for n in names), lists.cast(pa.binary())], [*names, "ids"])
+            yield from made.to_batches(common.BATCH_ROWS)
+
+        block, size = [], 0
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            block.append((batch.select(["doc_id", "tie", "row"]), [coder.numbers(t) for t in texts]))
-            chars += sum(len(t or "") for t in texts)
-            if chars >= BLOCK_CHARS:
-                yield from flush()
-                block, chars = [], 0
+            block.append(batch)
+            size += batch.column("text").nbytes
+            if size >= BLOCK_BYTES:
+                yield from coded(block)
+                block, size = [], 0
                 if len(coder.words) > MEMORY_WORDS:
                     coder.forget()
-        yield from flush()
+        if block:
+            yield from coded(block)
 
     return named.mapInArrow(run, "doc_id long, tie long, row long, ids binary")
 
