@@ -19,6 +19,10 @@ WIDTH = 4.0  # of a cell, in block radii
 TILE = 1024  # vectors compared with as many in one group
 FEW_CELLS = 20_000  # crowded cells that may be broadcast, 60 bytes each
 SEED = 11
+# How far rounding may move the cosine of rotated vectors; nearer to the bound the given components decide.
+ROUNDING = 1e-9
+# Components of pairs that are held at once while their blocks are looked at.
+GAP_VALUES = 4_000_000
 
 
 def rotation(size: int) -> np.ndarray:
@@ -87,6 +91,7 @@ def near_vectors(
     )
     classes = common.stored(classes, "vector-classes")
     found = common.stored(_compare(_entries(classes, 2 - 2 * least), least), "vector-links")
+    found = _decided(found, classes, least)
     counts = found.filter("b IS NULL").groupBy(F.col("a").alias("cid")).agg(F.sum("n").alias("n"))
     roots = components(found.filter("b IS NOT NULL").select("a", "b"))
     own = named.groupBy("cid").agg(F.min("vec_id").alias("least"))
@@ -102,6 +107,26 @@ def near_vectors(
     )
 
 
+def _decided(found: DataFrame, classes: DataFrame, least: float) -> DataFrame:
+    """Pairs at the bound (n = -1) become links and counts if the cosine of the components as given says so."""
+    # a power of two takes no digits away, and keeps squares of very large or small numbers in range
+    size = F.array_max(F.transform("v", lambda x: F.abs(x.cast("double"))))
+    scaled = F.transform("v", lambda x: x.cast("double") / F.pow(F.lit(2.0), F.floor(F.log2(size))))
+
+    def dot(x, y):
+        return F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda s, p: s + p)
+
+    named = classes.select("cid", "many", scaled.alias("x"))
+    left = named.select(F.col("cid").alias("a"), F.col("x").alias("xa"))
+    right = named.select(F.col("cid").alias("b"), F.col("x").alias("xb"), "many")
+    pairs = found.filter("n = -1").select("a", "b").join(left, "a").join(right, "b")
+    cosine = dot(F.col("xa"), F.col("xb")) / (F.sqrt(dot(F.col("xa"), F.col("xa"))) * F.sqrt(dot(F.col("xb"), F.col("xb"))))
+    linked = pairs.filter(cosine >= least)
+    both = F.array(F.struct(F.col("b"), F.lit(0).cast("long").alias("n")), F.struct(F.lit(None).cast("long").alias("b"), F.col("many").alias("n")))
+    linked = linked.select("a", F.explode(both).alias("l")).select("a", "l.b", "l.n")
+    return common.stored(found.filter("n >= 0").unionByName(linked), "vector-decided")
+
+
 def _entries(classes: DataFrame, budget: float) -> DataFrame:
     """A row for every cell that a class visits."""
 
@@ -133,7 +158,7 @@ def _entries(classes: DataFrame, budget: float) -> DataFrame:
 
 
 def _compare(entries: DataFrame, least: float) -> DataFrame:
-    """(a, b, n): with b NULL, the rows linked to class a in one tile (itself included once); else a link."""
+    """(a, b, n): with b NULL, the rows linked to class a in one tile (itself included once); else a link, or with n = -1 a pair at the bound."""
     cell = ["label", "size", "block", "cell"]
     counted = entries.groupBy(*cell).agg(F.count("*").alias("all"), F.count_if("home").alias("homes"))
     crowded = common.stored(
@@ -170,18 +195,24 @@ def _compare(entries: DataFrame, least: float) -> DataFrame:
         ids, many, is_left = rows["cid"].to_numpy(np.int64), rows["many"].to_numpy(np.int64), rows["left"].to_numpy(bool)
         is_right = ~is_left if rows["cut"].iat[0] else np.ones(len(rows), bool)
         left, right = np.flatnonzero(is_left), np.flatnonzero(is_right)
-        linked = x[left] @ x[right].T >= least
-        i, j = np.nonzero(linked | (ids[left][:, None] == ids[right][None, :]))
-        gap = np.square(x[left[i]] - x[right[j]])
+        cosine = x[left] @ x[right].T
+        linked = cosine >= least + ROUNDING
+        same = ids[left][:, None] == ids[right][None, :]
+        i, j = np.nonzero((cosine >= least - ROUNDING) | same)
         parts, first = blocks(size), np.full(len(i), -1)
-        for b, part in reversed(list(enumerate(parts))):
-            first[gap[:, part].sum(1) <= budget * len(part) / size * (1 + 1e-9)] = b
-        now = first == block
-        total = np.bincount(i[now], many[right[j[now]]], len(left)).astype(np.int64)
+        for at in range(0, len(i), max(1, GAP_VALUES // size)):
+            own = slice(at, at + max(1, GAP_VALUES // size))
+            gap = np.square(x[left[i[own]]] - x[right[j[own]]])
+            for b, part in reversed(list(enumerate(parts))):
+                first[own][gap[:, part].sum(1) <= budget * len(part) / size * (1 + 1e-9) + 2 * ROUNDING] = b
+        now, sure = first == block, linked[i, j] | same[i, j]
+        total = np.bincount(i[now & sure], many[right[j[now & sure]]], len(left)).astype(np.int64)
         counts = pd.DataFrame({"a": ids[left], "b": pd.array([None] * len(left), "Int64"), "n": total})
         a, b = common.links_in_tile(linked, ids[left], ids[right])
         links = pd.DataFrame({"a": a, "b": pd.array(b, "Int64"), "n": np.zeros(len(a), np.int64)})
-        return pd.concat([counts[total > 0], links], ignore_index=True)
+        open_ = now & ~sure
+        asked = pd.DataFrame({"a": ids[left[i[open_]]], "b": pd.array(ids[right[j[open_]]], "Int64"), "n": np.full(int(open_.sum()), -1)})
+        return pd.concat([counts[total > 0], links, asked], ignore_index=True)
 
     return dealt.groupBy(*cell, "i", "j").applyInPandas(tile, "a long, b long, n long")
 
