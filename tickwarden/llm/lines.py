@@ -44,25 +44,33 @@ def without_boilerplate(docs: DataFrame, sites: int = SITES) -> DataFrame:
     emptied: all lines with something in them were removed.  Lines are told apart by 96 bits of hash.
 
     NULL texts stay NULL with no lines, empty texts have one blank line; repeated rows are cleaned alike; an
-    empty table gives no rows.  Columns n_lines, n_removed and emptied are replaced if there.
+    empty table gives no rows.  Columns n_lines, n_removed and emptied are replaced if there; other columns come back
+    as they are, whatever their names.
     """
     kept = [c for c in docs.columns if c not in ("n_lines", "n_removed", "emptied")]
-    docs = docs.select(*kept, F.xxhash64("text").alias("_key"), F.split("text", "\n", -1).alias("_lines"))
-    rows = docs.select("doc_id", F.col("_key").alias("key"), "source", F.posexplode("_lines").alias("place", "line"))
+    # the table's own columns travel as one, so that none of their names can clash
+    whole = F.struct(*[docs[f"`{c}`"].alias(c) for c in kept])
+    docs = docs.select(
+        whole.alias("row"), docs["doc_id"].alias("id"), docs["source"].alias("site"), F.xxhash64(docs["text"]).alias("key"),
+        F.split(docs["text"], "\n", -1).alias("lines"),
+    )
+    rows = docs.select(F.col("id").alias("doc_id"), "key", F.col("site").alias("source"), F.posexplode("lines").alias("place", "line"))
     rows = rows.filter(_written(F.col("line")))
     rows = common.stored(rows.select("doc_id", "key", "source", "place", F.xxhash64("line").alias("h"), F.hash("line").alias("g")), "lines")
     spread = common.small(common.stored(boilerplate(rows, sites), "boilerplate"), FEW_ROWS)
     is_first = F.struct("doc_id", "key", "place").eqNullSafe(F.col("first"))
-    gone = rows.join(spread, ["h", "g"]).filter(~is_first).groupBy(F.col("doc_id").alias("_id"), "key").agg(F.collect_set("place").alias("_gone"))
+    gone = rows.join(spread, ["h", "g"]).filter(~is_first).groupBy(F.col("doc_id").alias("gone_id"), F.col("key").alias("gone_key")).agg(F.collect_set("place").alias("gone"))
     gone = common.stored(gone, "removed-lines")
-    both = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_id"]) & (docs["_key"] == gone["key"]), "left")
-    places = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
-    cleaned = F.array_join(F.transform(places, lambda p: F.get(F.col("_lines"), p)), "\n")
+    both = docs.join(gone, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("key") == F.col("gone_key")), "left")
+    places = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
+    cleaned = F.array_join(F.transform(places, lambda p: F.get(F.col("lines"), p)), "\n")
+    own = {c: F.col("row")[c] for c in kept}
+    own["text"] = F.when(F.col("gone").isNull(), own["text"]).otherwise(cleaned)
     return both.select(
-        *[F.when(F.col("_gone").isNull(), F.col("text")).otherwise(cleaned).alias("text") if c == "text" else docs[c] for c in kept],
-        F.coalesce(F.size("_lines"), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
-        F.coalesce(F.size("_gone") >= F.size(F.filter("_lines", _written)), F.lit(False)).alias("emptied"),
+        *[column.alias(c) for c, column in own.items()],
+        F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce(F.size("gone") >= F.size(F.filter("lines", _written)), F.lit(False)).alias("emptied"),
     )
 
 
