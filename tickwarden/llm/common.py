@@ -80,6 +80,20 @@ def lowered(text: Column) -> Column:
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
 
 
+def unused(columns, name: str) -> str:
+    """`name`, with underscores until no column is called so."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """`docs` with a number for each row, and that column's name; a stored table numbers its rows alike each time."""
+    name = unused(docs.columns, "_row")
+    return docs.withColumn(name, F.monotonically_increasing_id()), name
+
+
 def same(left: DataFrame, right: DataFrame, *names: str) -> Column:
     """Equal in all columns; NULLs are equal too."""
     met = [left[n].eqNullSafe(right[n]) for n in names]
