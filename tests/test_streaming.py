@@ -33,7 +33,7 @@ def incoming(spark, sf_dir, tmp_path):
 def run(spark, path, root, state, **settings):
     texts = stream.file_stream(spark, path, "value string", "text", 2)
     query = job.start_job(
-        job.trades_from_messages(texts), root, state, "zscore", trigger={"availableNow": True},
+        job.trades_from_messages(stream.file_positions(texts)), root, state, "zscore", trigger={"availableNow": True},
         threshold=1.6, **settings,
     )
     query.awaitTermination()

@@ -1,16 +1,16 @@
 """ARIMA(1,1,1) residual detector.
 
-With w the first differences, residuals follow e[t] = w[t] - phi w[t-1] - theta e[t-1].  The
-residuals are affine in the residual just before a stretch of rows, and so their sum of
-squares is quadratic in it.  A stretch is summed up per candidate (phi, theta) by
-five numbers, and stretches compose.  Long series are therefore fitted from per-chunk sums;
-only those reach the choice of parameters.
+With w the first differences, residuals follow e[t] = w[t] - phi w[t-1] - theta e[t-1], and so do
+their derivatives by phi and theta.  All three are affine in what they were just before a stretch
+of rows.  A stretch is therefore summed up by five running numbers and the sums of their products,
+and stretches compose: the sum of squares, its gradient and the Gauss-Newton matrix of a series of any length
+come from its chunks' summaries.  Parameters follow by damped Gauss-Newton steps until these end.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import replace
 from functools import reduce
 
 import numpy as np
@@ -32,118 +32,174 @@ from tickwarden.operators.series import (
     with_position,
 )
 
-# The search: a coarse grid over the stationary, invertible square, then two closer ones.
-LIMIT = 0.98
-COARSE, FINE, ROUNDS = 15, 9, 3
+# Where the descent may begin: the best of these pairs.
+STARTS = tuple((p / 10, t / 10) for p in range(-9, 10, 3) for t in range(-9, 10, 3))
+EVALUATIONS = 60
+# A descent has ended when a step would move less than this, or gains less than this share.
+LEAST_MOVE, LEAST_GAIN = 1e-8, 1e-12
+FIRST_DAMP, MOST_DAMP = 1e-3, 1e12
+# Farthest place on the line that stands for (-1, 1); there a parameter is within 1e-14 of its bound.
+FARTHEST = 1e7
 LEAST_STEPS = 3
 # Longest scope fitted as one array, many scopes at a time.
 ARRAY_ROWS = 1000
 # Chunks composed into one before the choice.
 FOLD = 256
-TERMS = ("aa", "ab", "bb", "a", "b")
-
-
-@dataclass
-class Terms:
-    """Residuals over a stretch are a + b e, where e is the residual before it."""
-
-    aa: np.ndarray
-    ab: np.ndarray
-    bb: np.ndarray
-    a: np.ndarray
-    b: np.ndarray
-
-    def then(self, later: "Terms") -> "Terms":
-        return Terms(
-            self.aa + later.aa + 2 * self.a * later.ab + self.a**2 * later.bb,
-            self.ab + self.b * later.ab + self.a * self.b * later.bb,
-            self.bb + self.b**2 * later.bb,
-            later.a + later.b * self.a,
-            later.b * self.b,
-        )
+STATE = ("u", "v", "cost", "pp", "pt", "tt", "ep", "et", "damp", "next_u", "next_v", "evaluations", "ended")
 
 
-def stretch_terms(w: np.ndarray, back: np.ndarray, phi: np.ndarray, theta: np.ndarray) -> Terms:
-    """Terms of every column of `w` (steps x columns) for every candidate (columns x candidates)."""
-    shape = np.broadcast_shapes((w.shape[1], 1), phi.shape)
-    a, b = np.zeros(shape), np.ones(shape)
-    aa, ab, bb = np.zeros(shape), np.zeros(shape), np.zeros(shape)
-    for t in range(w.shape[0]):
-        a = w[t, :, None] - phi * back[t, :, None] - theta * a
-        b = -theta * b
-        aa += a * a
-        ab += a * b
-        bb += b * b
-    return Terms(aa, ab, bb, a, b)
+# ---- stretches -----------------------------------------------------------------------------------
 
 
-def long_terms(w: np.ndarray, back: np.ndarray, phi: np.ndarray, theta: np.ndarray) -> Terms:
-    """Terms of one long stretch, worked in parallel pieces of about sqrt(n) steps."""
+def stretch(w: np.ndarray, back: np.ndarray, phi: np.ndarray, theta: np.ndarray, entered: bool = True
+            ) -> tuple[np.ndarray, np.ndarray]:
+    """Running numbers after, and sums of products over, every column of `w` (steps x columns) for every candidate.
+
+    With x, y, z the residual and its derivatives before the stretch, those within are e = m x + a,
+    e' = m y + b and e" = m z + c x + d.  The numbers are (m, c, a, b, d), or just (a, b, d) where
+    nothing came before.
+    """
+    shape = np.broadcast_shapes((w.shape[1], 1), phi.shape)
+    m, c, a, b, d = np.ones(shape), np.zeros(shape), np.zeros(shape), np.zeros(shape), np.zeros(shape)
+    size = 5 if entered else 3
+    products = np.zeros((size, size, *shape))
+    for t in range(w.shape[0]):
+        step, prior = w[t, :, None], back[t, :, None]
+        d = -a - theta * d
+        b = -prior - theta * b
+        a = step - phi * prior - theta * a
+        if entered:
+            c = -m - theta * c
+            m = -theta * m
+        now = np.stack([m, c, a, b, d][-size:])
+        products += now[:, None] * now[None]
+    return np.stack([m, c, a, b, d][-size:]), products
+
+
+def then(first: tuple[np.ndarray, np.ndarray], later: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The summary of two stretches, one after the other."""
+    (m, c, a, b, d), _ = first
+    none, one = np.zeros_like(m), np.ones_like(m)
+    turn = np.stack([
+        np.stack([m, none, none, none, none]), np.stack([c, m, none, none, none]), np.stack([a, none, one, none, none]),
+        np.stack([b, none, none, one, none]), np.stack([d, a, none, none, one]),
+    ])
+    moved = np.einsum("ij...,jk...->ik...", turn, later[1])
+    return np.einsum("ij...,j...->i...", turn, later[0]), first[1] + np.einsum("ij...,kj...->ik...", moved, turn)
+
+
+def long_stretch(w: np.ndarray, back: np.ndarray, phi: np.ndarray, theta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The summary of one long stretch per candidate, worked in parallel pieces of about sqrt(n) steps."""
     size = max(1, int(np.sqrt(len(w))))
     whole_part = len(w) - len(w) % size
-    pieces = stretch_terms(
-        w[:whole_part].reshape(-1, size).T, back[:whole_part].reshape(-1, size).T,
-        phi[None, :], theta[None, :],
+    numbers, products = stretch(
+        w[:whole_part].reshape(-1, size).T, back[:whole_part].reshape(-1, size).T, phi[None, :], theta[None, :]
     )
-    parts = [
-        Terms(*[getattr(pieces, t)[i] for t in TERMS]) for i in range(whole_part // size)
-    ]
+    parts = [(numbers[:, i], products[:, :, i]) for i in range(whole_part // size)]
     if whole_part < len(w):
-        rest = stretch_terms(
-            w[whole_part:, None], back[whole_part:, None], phi[None, :], theta[None, :]
-        )
-        parts.append(Terms(*[getattr(rest, t)[0] for t in TERMS]))
-    return reduce(Terms.then, parts)
+        numbers, products = stretch(w[whole_part:, None], back[whole_part:, None], phi[None, :], theta[None, :])
+        parts.append((numbers[:, 0], products[:, :, 0]))
+    return reduce(then, parts)
+
+
+def residuals(w: np.ndarray, back: np.ndarray, phi: float, theta: float, e: float) -> np.ndarray:
+    """Residuals after the residual `e`: pieces of about sqrt(n) steps at once, each started by the one before."""
+    size = max(1, int(np.sqrt(len(w))))
+    drive = w - phi * back
+    drive = np.concatenate([drive, np.zeros(-len(w) % size)]).reshape(-1, size)
+    for t in range(1, size):
+        drive[:, t] -= theta * drive[:, t - 1]
+    powers = (-theta) ** np.arange(1, size + 1)
+    enter = np.empty(len(drive))
+    for i, last in enumerate(drive[:, -1]):
+        enter[i] = e
+        e = last + powers[-1] * e
+    return (drive + powers * enter[:, None]).ravel()[: len(w)]
+
+
+# ---- the descent ---------------------------------------------------------------------------------
+
 
+def inside(u: np.ndarray) -> np.ndarray:
+    """From the line to the open interval (-1, 1), where a series is stationary and invertible."""
+    return u / np.sqrt(1 + u * u)
 
-def residuals(w: Sequence[float], back: Sequence[float], phi: float, theta: float, e: float
-              ) -> list[float]:
-    out = []
-    for step, prior in zip(w, back):
-        e = step - phi * prior - theta * e
-        out.append(e)
-    return out
 
+def begun(costs: np.ndarray) -> np.ndarray:
+    """States (STATE x ...) that first look at the best of STARTS; `costs`: ... x STARTS."""
+    at = np.asarray(STARTS)[np.argmin(costs, axis=-1)]
+    state = np.zeros((len(STATE), *costs.shape[:-1]))
+    line = at / np.sqrt(1 - at**2)
+    begin = {"cost": np.inf, "damp": FIRST_DAMP, "next_u": line[..., 0], "next_v": line[..., 1]}
+    for name, value in begin.items():
+        state[STATE.index(name)] = value
+    return state
 
-def grid(center: tuple, round_no: int | None) -> tuple[np.ndarray, np.ndarray]:
-    """Candidates of one round: (..., candidates) for centers of any shape.
 
-    Without a round the center is the only candidate.
+def advance(state: np.ndarray, products: np.ndarray) -> np.ndarray:
+    """The states after a look at (next_u, next_v); `products` of (a, b, d) there.
+
+    A look that lowers the sum of squares becomes the place to go on from, with less damping; another raises
+    the damping.  `ended`: 1 where no step is left worth taking, 2 where EVALUATIONS did not suffice.
     """
-    if round_no is None:
-        return np.asarray(center[0])[..., None], np.asarray(center[1])[..., None]
-    if round_no == 0:
-        axis = np.linspace(-LIMIT, LIMIT, COARSE)
-        p, t = (m.ravel() for m in np.meshgrid(axis, axis, indexing="ij"))
-        shape = (*np.shape(center[0]), COARSE * COARSE)
-        return np.broadcast_to(p, shape), np.broadcast_to(t, shape)
-    reach = 2 * LIMIT / (COARSE - 1) / ((FINE - 1) / 2) ** (round_no - 1)
-    axis = np.linspace(-reach, reach, FINE)
-    p, t = (m.ravel() for m in np.meshgrid(axis, axis, indexing="ij"))
-    phi, theta = (np.asarray(c)[..., None] for c in center)
-    return np.clip(phi + p, -LIMIT, LIMIT), np.clip(theta + t, -LIMIT, LIMIT)
-
-
-def best(phi: np.ndarray, theta: np.ndarray, cost: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    at = np.argmin(cost, axis=-1)[..., None]
-    return np.take_along_axis(phi, at, -1)[..., 0], np.take_along_axis(theta, at, -1)[..., 0]
-
-
-def fit_long(w: np.ndarray, back: np.ndarray) -> tuple[float, float]:
-    center = (np.zeros(()), np.zeros(()))
-    for round_no in range(ROUNDS):
-        phi, theta = grid(center, round_no)
-        center = best(phi, theta, long_terms(w, back, phi, theta).aa)
-    return float(center[0]), float(center[1])
-
-
-def fit_many(w: np.ndarray, back: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Fit every column of `w` on its own."""
-    center = (np.zeros(w.shape[1]), np.zeros(w.shape[1]))
-    for round_no in range(ROUNDS):
-        phi, theta = grid(center, round_no)
-        center = best(phi, theta, stretch_terms(w, back, phi, theta).aa)
-    return center
+    s = dict(zip(STATE, state.copy()))
+    going = s["ended"] == 0
+    cost = products[0, 0]
+    better = cost < s["cost"]
+    with np.errstate(invalid="ignore"):
+        settled = better & (s["cost"] - cost <= LEAST_GAIN * cost)
+    new = {"u": s["next_u"], "v": s["next_v"], "cost": cost, "pp": products[1, 1], "pt": products[1, 2],
+           "tt": products[2, 2], "ep": products[0, 1], "et": products[0, 2]}
+    s |= {k: np.where(better, x, s[k]) for k, x in new.items()}
+    s["damp"] = np.where(better, s["damp"] / 10, s["damp"] * 10)
+    s["evaluations"] = s["evaluations"] + 1
+    # derivatives by u and v
+    du, dv = ((1 + s[k] ** 2) ** -1.5 for k in "uv")
+    a, b, d = s["pp"] * du * du * (1 + s["damp"]), s["pt"] * du * dv, s["tt"] * dv * dv * (1 + s["damp"])
+    g, h = s["ep"] * du, s["et"] * dv
+    det = a * d - b * b
+    det = np.where(det > 0, det, np.inf)
+    s["next_u"] = np.clip(s["u"] - (d * g - b * h) / det, -FARTHEST, FARTHEST)
+    s["next_v"] = np.clip(s["v"] - (a * h - b * g) / det, -FARTHEST, FARTHEST)
+    move = np.maximum(*(np.abs(inside(s[f"next_{k}"]) - inside(s[k])) for k in "uv"))
+    over = settled | (move < LEAST_MOVE) | (s["damp"] > MOST_DAMP)
+    s["ended"] = np.where(over, 1.0, np.where(s["evaluations"] >= EVALUATIONS, 2.0, 0.0))
+    return np.where(going, np.stack([s[k] for k in STATE]), state)
+
+
+def parameters(state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return inside(state[0]), inside(state[1])
+
+
+def _looked_at(state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    at = STATE.index("next_u")
+    return inside(state[at]), inside(state[at + 1])
+
+
+def fit_many(w: np.ndarray, back: np.ndarray) -> np.ndarray:
+    """Fit every column of `w` on its own: the states at the end."""
+    phi, theta = (np.array([p]) for p in zip(*STARTS))
+    costs = np.zeros((w.shape[1], len(STARTS)))
+    a = np.zeros_like(costs)
+    for t in range(w.shape[0]):
+        a = w[t, :, None] - phi * back[t, :, None] - theta * a
+        costs += a * a
+    state = begun(costs)
+    while (left := np.flatnonzero(state[-1] == 0)).size:
+        phi, theta = _looked_at(state[:, left])
+        _, products = stretch(w[:, left], back[:, left], phi[:, None], theta[:, None], entered=False)
+        state[:, left] = advance(state[:, left], products[..., 0])
+    return state
+
+
+def fit_long(w: np.ndarray, back: np.ndarray) -> np.ndarray:
+    """The same for one long series, by the composition that serves chunks."""
+    phi, theta = (np.array(p) for p in zip(*STARTS))
+    state = begun(long_stretch(w, back, phi, theta)[1][2, 2])
+    while state[-1] == 0:
+        phi, theta = (np.array([x]) for x in _looked_at(state))
+        state = advance(state, long_stretch(w, back, phi, theta)[1][2:, 2:, 0])
+    return state
 
 
 def _flags_of_arrays(threshold: float, include_first: bool):
@@ -159,7 +215,7 @@ def _flags_of_arrays(threshold: float, include_first: bool):
             x = np.stack([values[i][there[i]] for i in index], axis=1)
             w = np.diff(x, axis=0)
             back = np.vstack([np.zeros(w.shape[1]), w[:-1]])
-            phi, theta = fit_many(w, back)
+            phi, theta = parameters(fit_many(w, back))
             e = np.zeros_like(w)
             last = np.zeros(w.shape[1])
             for t in range(len(w)):
@@ -220,6 +276,24 @@ def _key_fields(df: DataFrame, names: Sequence[str]) -> list[T.StructField]:
     return [df.schema[k] for k in names]
 
 
+def _fit_fields(steps: DataFrame, keys: list[str]) -> T.StructType:
+    return T.StructType([*_key_fields(steps, keys), T.StructField("_state", T.ArrayType(T.DoubleType())),
+                         T.StructField("_steps", T.LongType())])
+
+
+def _fits_at_once(steps: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, _state, _steps) of series that fit one task; no state where there are too few steps."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_pos")
+        state = None
+        if len(pdf) >= LEAST_STEPS:
+            state = fit_long(pdf["_w"].to_numpy(), pdf["_back"].to_numpy()).tolist()
+        return pd.DataFrame([{k: pdf[k].iloc[0] for k in keys} | {"_state": state, "_steps": len(pdf)}])
+
+    return steps.groupBy(*keys).applyInPandas(run, _fit_fields(steps, keys))
+
+
 def _residuals_at_once(steps: DataFrame, keys: list[str], order: list[str],
                        fixed: tuple[float, float] | None) -> DataFrame:
     """Fit and residuals of series that fit one task."""
@@ -231,105 +305,163 @@ def _residuals_at_once(steps: DataFrame, keys: list[str], order: list[str],
         if fixed is None and len(w) < LEAST_STEPS:
             pdf["_e"] = np.nan
         else:
-            phi, theta = fixed or fit_long(w, back)
-            pdf["_e"] = residuals(w.tolist(), back.tolist(), phi, theta, 0.0)
+            phi, theta = fixed or parameters(fit_long(w, back))
+            pdf["_e"] = residuals(w, back, float(phi), float(theta), 0.0)
         return pdf[[*kept, "_e"]]
 
     out = T.StructType([*_key_fields(steps, kept), T.StructField("_e", T.DoubleType())])
     return steps.groupBy(*keys).applyInPandas(run, out)
 
 
-def _chunk_terms(cut: DataFrame, keys: list[str], round_no: int | None) -> DataFrame:
-    arrays = [T.StructField(t, T.ArrayType(T.DoubleType())) for t in TERMS]
-    center = [T.StructField(c, T.DoubleType()) for c in ("_phi", "_theta")]
-    size = T.StructField("_steps", T.LongType())
-    out = T.StructType([*_key_fields(cut, [*keys, "_chunk"]), *center, size, *arrays])
+def _packed(cut: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, _chunk, _w, _back): a chunk's differences as bytes, so that later passes move nothing."""
+    bytes_of = [T.StructField(c, T.BinaryType()) for c in ("_w", "_back")]
+    out = T.StructType([*_key_fields(cut, [*keys, "_chunk"]), *bytes_of])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_pos")
-        center = (np.asarray(pdf["_phi"].iloc[0]), np.asarray(pdf["_theta"].iloc[0]))
-        phi, theta = grid(center, round_no)
-        made = long_terms(pdf["_w"].to_numpy(), pdf["_back"].to_numpy(), phi, theta)
-        line = {k: pdf[k].iloc[0] for k in (*keys, "_chunk", "_phi", "_theta")}
-        return pd.DataFrame([line | {"_steps": len(pdf)} | {t: getattr(made, t) for t in TERMS}])
+        line = {k: pdf[k].iloc[0] for k in (*keys, "_chunk")}
+        return pd.DataFrame([line | {c: pdf[c].to_numpy(float).tobytes() for c in ("_w", "_back")}])
 
-    return cut.groupBy(*keys, "_chunk").applyInPandas(run, out)
+    slim = cut.select(*dict.fromkeys((*keys, "_chunk", "_pos", "_w", "_back")))
+    return session.stored(slim.groupBy(*keys, "_chunk").applyInPandas(run, out), "arima-chunks")
 
 
-def _folded(terms: DataFrame, keys: list[str]) -> DataFrame:
-    """Compose the terms of neighbouring chunks, so that few reach the choice."""
+def _summaries(chunks: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, _chunk, _state, _steps, _numbers, _products) of each chunk at what its series looks at next.
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_chunk")
-        parts = [Terms(*[np.asarray(v) for v in line]) for line in pdf[list(TERMS)].itertuples(index=False)]
-        line = {k: pdf[k].iloc[0] for k in (*keys, "_chunk", "_phi", "_theta")}
-        made = reduce(Terms.then, parts)
-        line["_steps"] = int(pdf["_steps"].sum())
-        return pd.DataFrame([line | {t: getattr(made, t) for t in TERMS}])
+    Without a state that is all of STARTS.
+    """
+    lists = [T.StructField(c, T.ArrayType(T.DoubleType())) for c in ("_state", "_numbers", "_products")]
+    out = T.StructType([*_key_fields(chunks, [*keys, "_chunk"]), T.StructField("_steps", T.LongType()), *lists])
 
-    near = F.floor(F.col("_chunk") / FOLD)
-    return terms.groupBy(*keys, near.alias("_near")).applyInPandas(run, terms.schema)
+    def run(frames):
+        for pdf in frames:
+            made = []
+            for _, row in pdf.iterrows():
+                w, back = np.frombuffer(row["_w"]), np.frombuffer(row["_back"])
+                if row["_state"] is None:
+                    phi, theta = (np.array(p) for p in zip(*STARTS))
+                else:
+                    phi, theta = (np.array([x]) for x in _looked_at(np.asarray(row["_state"])))
+                numbers, products = long_stretch(w, back, phi, theta)
+                made.append({k: row[k] for k in (*keys, "_chunk")} | {
+                    "_steps": len(w), "_state": row["_state"], "_numbers": numbers.ravel(), "_products": products.ravel()})
+            yield pd.DataFrame(made, columns=out.names)
+
+    return chunks.mapInPandas(run, out)
 
 
-def _choose(terms: DataFrame, keys: list[str], round_no: int) -> DataFrame:
-    """(keys, _phi, _theta): the round's best candidate over the whole series."""
-    added = [T.StructField(c, T.DoubleType()) for c in ("_phi", "_theta")]
-    out = T.StructType([*_key_fields(terms, keys), *added])
+def _composed(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    shaped = ((n.reshape(5, -1), p.reshape(5, 5, -1)) for n, p in zip(map(np.asarray, pdf["_numbers"]), map(np.asarray, pdf["_products"])))
+    return reduce(then, shaped)
+
+
+def _folded(summaries: DataFrame, keys: list[str]) -> DataFrame:
+    """Compose neighbouring chunks, so that few reach the step."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_chunk")
-        parts = [Terms(*[np.asarray(v) for v in line]) for line in pdf[list(TERMS)].itertuples(index=False)]
-        center = (np.asarray(pdf["_phi"].iloc[0]), np.asarray(pdf["_theta"].iloc[0]))
-        phi, theta = grid(center, round_no)
-        at = int(np.argmin(reduce(Terms.then, parts).aa))
-        enough = pdf["_steps"].sum() >= LEAST_STEPS
-        line = {k: pdf[k].iloc[0] for k in keys}
-        line["_phi"] = float(phi[at]) if enough else np.nan
-        line["_theta"] = float(theta[at]) if enough else np.nan
-        return pd.DataFrame([line])
+        numbers, products = _composed(pdf)
+        line = {k: pdf[k].iloc[0] for k in (*keys, "_chunk", "_state")}
+        line |= {"_steps": int(pdf["_steps"].sum()), "_numbers": numbers.ravel(), "_products": products.ravel()}
+        return pd.DataFrame([line], columns=summaries.columns)
+
+    near = F.floor(F.col("_chunk") / FOLD)
+    return summaries.groupBy(*keys, near.alias("_near")).applyInPandas(run, summaries.schema)
 
-    return _folded(terms, keys).groupBy(*keys).applyInPandas(run, out)
 
+def _stepped(summaries: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, _state, _steps): each series' state after a look."""
 
-def _starts(terms: DataFrame, keys: list[str]) -> DataFrame:
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_chunk")
+        _, products = _composed(pdf)
+        before, steps = pdf["_state"].iloc[0], int(pdf["_steps"].sum())
+        if steps < LEAST_STEPS:
+            state = None
+        elif before is None:
+            state = begun(products[2, 2]).tolist()
+        else:
+            state = advance(np.asarray(before, float), products[2:, 2:, 0]).tolist()
+        return pd.DataFrame([{k: pdf[k].iloc[0] for k in keys} | {"_state": state, "_steps": steps}])
+
+    return _folded(summaries, keys).groupBy(*keys).applyInPandas(run, _fit_fields(summaries, keys))
+
+
+def _fits_by_chunk(chunks: DataFrame, keys: list[str], layout: Layout) -> DataFrame:
+    """(keys, _state, _steps) for series of any length: a pass over the chunks per look, of those not yet done."""
+    none = F.lit(None).cast("array<double>")
+    states = session.stored(_stepped(_summaries(chunks.withColumn("_state", none), keys), keys), "arima-states")
+    done = []
+    for _ in range(EVALUATIONS):
+        going = F.element_at("_state", -1) == 0
+        done.append(states.filter(~F.coalesce(going, F.lit(False))))
+        left = states.filter(going)
+        if left.isEmpty():
+            break
+        looking = layout.attach(chunks, left.select(*keys, "_state"), keys).filter("_state IS NOT NULL")
+        # some numbers per series; stored, lest later looks repeat earlier ones
+        states = session.stored(_stepped(_summaries(looking, keys), keys), "arima-states")
+    else:
+        done.append(states)
+    return reduce(DataFrame.unionByName, done)
+
+
+def _starts(chunks: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, _chunk, _phi, _theta, _e_in): the residual each chunk starts from.
 
-    Two numbers per chunk of the one chosen candidate are read in chunk order.
+    Two numbers per chunk are read in chunk order.
     """
+    ends = [T.StructField(c, T.DoubleType()) for c in ("_phi", "_theta", "_m", "_a")]
+    out = T.StructType([*_key_fields(chunks, [*keys, "_chunk"]), *ends])
+
+    def last(frames):
+        for pdf in frames:
+            made = []
+            for _, row in pdf.iterrows():
+                w, back = np.frombuffer(row["_w"]), np.frombuffer(row["_back"])
+                a = residuals(w, back, row["_phi"], row["_theta"], 0.0)[-1]
+                made.append({k: row[k] for k in (*keys, "_chunk", "_phi", "_theta")} | {"_m": (-row["_theta"]) ** len(w), "_a": a})
+            yield pd.DataFrame(made, columns=out.names)
+
     added = [T.StructField(c, T.DoubleType()) for c in ("_phi", "_theta", "_e_in")]
-    out = T.StructType([*_key_fields(terms, [*keys, "_chunk"]), *added])
+    begin = T.StructType([*_key_fields(chunks, [*keys, "_chunk"]), *added])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_chunk")
         e, starts = 0.0, []
-        for a, b in zip(pdf["_a"], pdf["_b"]):
+        for a, m in zip(pdf["_a"], pdf["_m"]):
             starts.append(e)
-            e = a + b * e
+            e = a + m * e
         return pdf[[*keys, "_chunk", "_phi", "_theta"]].assign(_e_in=starts)
 
-    slim = terms.select(
-        *keys, "_chunk", "_phi", "_theta", F.col("a")[0].alias("_a"), F.col("b")[0].alias("_b")
-    )
-    return slim.groupBy(*keys).applyInPandas(run, out)
+    return chunks.mapInPandas(last, out).groupBy(*keys).applyInPandas(run, begin)
+
+
+def _cut(steps: DataFrame, kept: list[str], layout: Layout) -> DataFrame:
+    chunk = F.floor(F.col("_pos") / layout.chunk_rows).cast("long")
+    return session.stored(steps.select(*kept, "_pos", "_w", "_back", chunk.alias("_chunk")), "arima-steps")
+
+
+def _with_parameters(fits: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, _phi, _theta)."""
+    inner = [F.element_at("_state", i + 1) / F.sqrt(1 + F.element_at("_state", i + 1) ** 2) for i in range(2)]
+    return fits.select(*keys, inner[0].alias("_phi"), inner[1].alias("_theta"))
 
 
 def _residuals_by_chunk(steps: DataFrame, keys: list[str], order: list[str], layout: Layout,
                         fixed: tuple[float, float] | None) -> DataFrame:
-    """The same for series of any length, in one pass over the chunks per search round."""
-    spark = steps.sparkSession
+    """The same for series of any length."""
     kept = list(dict.fromkeys((*keys, *order)))
-    chunk = F.floor(F.col("_pos") / layout.chunk_rows).cast("long")
-    cut = session.stored(
-        steps.select(*kept, "_pos", "_w", "_back", chunk.alias("_chunk")), "arima-steps"
-    )
-    phi, theta = fixed or (0.0, 0.0)
-    located = cut.withColumns({"_phi": F.lit(phi), "_theta": F.lit(theta)})
-    for round_no in () if fixed else range(ROUNDS):
-        chosen = _choose(_chunk_terms(located, keys, round_no), keys, round_no)
-        session.checkpoint_dir(spark)
-        # two numbers per series; a checkpoint keeps rounds from repeating earlier rounds
-        located = layout.attach(cut, chosen.checkpoint(), keys)
-    starts = _starts(_chunk_terms(located, keys, None), keys)
+    cut = _cut(steps, kept, layout)
+    chunks = _packed(cut, keys)
+    if fixed:
+        located = chunks.withColumns({"_phi": F.lit(float(fixed[0])), "_theta": F.lit(float(fixed[1]))})
+    else:
+        found = session.stored(_with_parameters(_fits_by_chunk(chunks, keys, layout), keys), "arima-fits")
+        located = layout.attach(chunks, found, keys)
+    starts = _starts(located, keys)
     cells = layout.groups * (layout.rows // layout.chunk_rows + 1)
     ready = attach(cut, starts, (*keys, "_chunk"), cells, layout.broadcast_rows)
     out = T.StructType([*_key_fields(cut, kept), T.StructField("_e", T.DoubleType())])
@@ -337,14 +469,34 @@ def _residuals_by_chunk(steps: DataFrame, keys: list[str], order: list[str], lay
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_pos")
         first = pdf.iloc[0]
-        pdf["_e"] = residuals(
-            pdf["_w"].tolist(), pdf["_back"].tolist(), first["_phi"], first["_theta"], first["_e_in"]
-        )
+        pdf["_e"] = residuals(pdf["_w"].to_numpy(), pdf["_back"].to_numpy(), first["_phi"], first["_theta"], first["_e_in"])
         return pdf[[*kept, "_e"]]
 
     return ready.groupBy(*keys, "_chunk").applyInPandas(run, out)
 
 
+def arima_fit(df: DataFrame, column: str, scope: Scope = whole(), series: Series = Series()) -> DataFrame:
+    """(scope keys, phi, theta, squares, steps, evaluations, converged): what `arima` goes by, a row per scope.
+
+    squares: the sum of squared residuals.  converged is false where the descent used up EVALUATIONS looks, and
+    where there are fewer than LEAST_STEPS differences, which also leaves the rest NULL.
+    """
+    s = scoped(df, series, scope)
+    table, inner, finish = for_python(s.df, s.inner)
+    layout = plan_layout(table, inner)
+    keys, steps = list(inner.keys), _steps(table, layout, column)
+    if layout.single:
+        fits = _fits_at_once(steps, keys)
+    else:
+        fits = _fits_by_chunk(_packed(_cut(steps, keys, layout), keys), keys, layout)
+    at = {name: F.element_at("_state", i + 1) for i, name in enumerate(STATE)}
+    phi, theta = (at[k] / F.sqrt(1 + at[k] ** 2) for k in "uv")
+    return finish(fits.select(
+        *keys, phi.alias("phi"), theta.alias("theta"), at["cost"].alias("squares"), F.col("_steps").alias("steps"),
+        at["evaluations"].cast("int").alias("evaluations"), F.coalesce(at["ended"] == 1, F.lit(False)).alias("converged"),
+    ))
+
+
 def arima_residuals(df: DataFrame, column: str, series: Series = Series(),
                     fixed: tuple[float, float] | None = None, layout: Layout | None = None
                     ) -> DataFrame:

@@ -131,11 +131,14 @@ def neighbour(df: DataFrame, columns: Sequence[str], scope: Scope = whole(),
 
 
 def sliding_zscore(df: DataFrame, columns: Sequence[str], scope: Scope = whole(),
-                   series: Series = Series(), seconds: float = 3, threshold: float = 3.0
-                   ) -> DataFrame:
-    """Flag values whose score against the trailing time window exceeds `threshold`."""
+                   series: Series = Series(), seconds: float = 3, threshold: float = 3.0,
+                   peers: bool = True) -> DataFrame:
+    """Flag values whose score against the trailing time window exceeds `threshold`.
+
+    `peers`: whether a row's window holds all rows of its instant, or only those before it.
+    """
     s = scoped(df, series, scope)
-    scored = trailing_scores(s.df, columns, [seconds], s.inner)
+    scored = trailing_scores(s.df, columns, [seconds], s.inner, peers)
     flags = {flag_name(c): settled(F.abs(F.col(f"{c}_z")) > threshold) for c in columns}
     return scored.withColumns(flags).drop("window_no", *[f"{c}_z" for c in columns])
 

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickwarden.functions.missing import number
 from tickwarden.operators.detectors import detect, flag_name
 from tickwarden.operators.scope import Scope, whole
 from tickwarden.operators.series import Series
@@ -83,13 +84,16 @@ def join_predictions(base: DataFrame, predictions: DataFrame, columns: Sequence[
 
 
 def agreement(df: DataFrame, method: str, scope: Scope = whole(), series: Series = Series(),
-              stored: Mapping[str, str] | None = None, **params) -> DataFrame:
+              stored: Mapping[str, str] | None = None, missing: float | None = 0.0, **params) -> DataFrame:
     """Compare stored predictions with the same detector run again.
 
     `stored` maps each value column to its prediction column.  Gives one row per value
-    column with the confusion counts and metrics.
+    column with the confusion counts and metrics.  Values that are NULL or NaN count as `missing` when the detector
+    runs again; with None they stay out of its statistics.
     """
     stored = stored or {"price": "price_pred", "volume": "volume_pred"}
+    if missing is not None:
+        df = df.withColumns({c: F.coalesce(number(c), F.lit(float(missing))) for c in stored})
     redone = detect(df, method, tuple(stored), scope, series, **params)
     return _per_column(redone, {c: (p, flag_name(c)) for c, p in stored.items()})
 

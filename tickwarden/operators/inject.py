@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
-from tickwarden.operators.series import Series, plan_layout, sliding, with_totals
+from tickwarden.operators.series import Series, attach, plan_layout, sliding, with_position
 
 # How far a planted value lies from its neighbours' mean, its rounding, and
 # the volume above which a row counts as a volume anomaly.
@@ -18,6 +18,10 @@ VOLUME_DIGITS = 5
 VOLUME_LABEL_ABOVE = 0.2
 
 
+# Draws that one row of a series' sizes is spread into at a time.
+DRAWS = 100_000
+
+
 def hashed_draws(id_column: str = "uuid", seed: int = 42) -> Callable[[str], Column]:
     """Uniform numbers in [0, 1) from a row's id, one per purpose, the same in any run."""
 
@@ -28,17 +32,36 @@ def hashed_draws(id_column: str = "uuid", seed: int = 42) -> Callable[[str], Col
     return draw
 
 
-def _picked(w: WindowSpec, pick: str) -> Column:
-    """Drawn rows; a draw on the first or last row moves one row inwards."""
-    exists = F.lit(1)
-    first, last = F.lag(exists).over(w).isNull(), F.lead(exists).over(w).isNull()
-    second = F.lag(exists, 2).over(w).isNull() & ~first
-    next_to_last = F.lead(exists, 2).over(w).isNull() & ~last
-    inner = ~first & ~last
-    drawn = F.col(pick)
-    return inner & (
-        drawn | (second & F.lag(pick).over(w)) | (next_to_last & F.lead(pick).over(w))
+def hashed_picks(keys: Sequence[str], seed: int = 42) -> Callable[[str, Column, Column], Column]:
+    """The place in [0, n) that the k-th draw of a series names, the same in any run."""
+
+    def pick(column: str, k: Column, n: Column) -> Column:
+        return F.pmod(F.xxhash64(*keys, F.lit(column), k, F.lit(seed)), n)
+
+    return pick
+
+
+def drawn_places(df: DataFrame, ratio: float, series: Series, columns: Sequence[str],
+                 pick: Callable[[str, Column, Column], Column]) -> DataFrame:
+    """(keys, _place, _<column>_hit): the places that draws with replacement name, each once.
+
+    A series of n rows has exactly max(1, int(ratio * n)) draws per column; one on its first or last
+    row moves a row inwards.  Series of fewer than three rows have none.  The draws are rows of their own, made where
+    they are needed, so a long series' draws are no single task's.
+    """
+    keys = list(series.keys)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n >= 3")
+    many = F.greatest(F.lit(1), F.floor(F.lit(ratio) * F.col("_n"))).cast("long")
+    parts = sizes.withColumn("_many", many).withColumn(
+        "_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_many") - 1, F.lit(DRAWS).cast("long")))
     )
+    parts = parts.repartition(*keys, "_from")
+    k = F.explode(F.sequence("_from", F.least(F.col("_from") + (DRAWS - 1), F.col("_many") - 1)))
+    draws = parts.withColumn("_k", k).withColumn("_column", F.explode(F.array(*[F.lit(c) for c in columns])))
+    place = F.coalesce(*[F.when(F.col("_column") == c, pick(c, F.col("_k"), F.col("_n"))) for c in columns])
+    inner = F.greatest(F.lit(1), F.least(place, F.col("_n") - 2)).cast("long")
+    hits = [F.max(F.col("_column") == c).alias(f"_{c}_hit") for c in columns]
+    return draws.withColumn("_place", inner).groupBy(*keys, "_place").agg(*hits)
 
 
 def add_anomalies(
@@ -46,23 +69,20 @@ def add_anomalies(
     ratio: float = 0.02,
     series: Series = Series(),
     draws: Callable[[str], Column] | None = None,
+    picks: Callable[[str, Column, Column], Column] | None = None,
 ) -> DataFrame:
-    """Replace about `ratio` of the prices and of the volumes and label them.
+    """Replace the prices and the volumes of drawn rows and label them.
 
-    A planted value is the mean of its original neighbours moved up or down by a random
-    share of that mean.  Each row decides by its own draw, so no row count or random state
-    is shared between tasks; at least one row is always drawn.  `volume_anomaly` finally
-    marks every volume above the fixed level, planted or not.
+    Which rows: see `drawn_places`; a row drawn twice is replaced once.  A planted value is the mean of
+    its original neighbours moved up or down by a random share of that mean.
+    `volume_anomaly` finally marks every volume above the fixed level, planted or not.
     """
-    draws = draws or hashed_draws()
-    drawn = df.withColumns({"_price_u": draws("price_pick"), "_volume_u": draws("volume_pick")})
-    least = drawn.agg(F.min("_price_u").alias("_price_min"), F.min("_volume_u").alias("_volume_min"))
-    picks = with_totals(drawn, least).withColumns(
-        {
-            f"_{c}_pick": (F.col(f"_{c}_u") < ratio) | (F.col(f"_{c}_u") == F.col(f"_{c}_min"))
-            for c in ("price", "volume")
-        }
-    )
+    draws, picks = draws or hashed_draws(), picks or hashed_picks(series.keys)
+    layout = plan_layout(df, series)
+    places = drawn_places(df, ratio, series, ("price", "volume"), picks)
+    bound = 2 * int(ratio * layout.rows) + 2 * layout.groups
+    placed = with_position(df, layout, "_place")
+    placed = attach(placed, places, (*series.keys, "_place"), bound, layout.broadcast_rows)
 
     def planted(column: str, reach: float, digits: int, w: WindowSpec) -> Column:
         mean = (F.lag(column).over(w) + F.lead(column).over(w)) / 2
@@ -74,23 +94,20 @@ def add_anomalies(
             {
                 "_price_new": planted("price", PRICE_REACH, PRICE_DIGITS, w),
                 "_volume_new": planted("volume", VOLUME_REACH, VOLUME_DIGITS, w),
-                "_price_hit": _picked(w, "_price_pick"),
-                "_volume_hit": _picked(w, "_volume_pick"),
             }
         )
 
-    moved = sliding(picks, plan_layout(df, series), 2, 2, add)
+    moved = sliding(placed, layout, 1, 1, add, "_place")
+    hit = {c: F.coalesce(F.col(f"_{c}_hit"), F.lit(False)) for c in ("price", "volume")}
     volume = F.when(
-        F.col("_volume_hit") & (F.col("_volume_new") > VOLUME_LABEL_ABOVE), F.col("_volume_new")
+        hit["volume"] & (F.col("_volume_new") > VOLUME_LABEL_ABOVE), F.col("_volume_new")
     ).otherwise(F.col("volume"))
     labelled = moved.withColumns(
         {
-            "price": F.when(F.col("_price_hit"), F.col("_price_new")).otherwise(F.col("price")),
+            "price": F.when(hit["price"], F.col("_price_new")).otherwise(F.col("price")),
             "volume": volume,
-            "price_anomaly": F.col("_price_hit").cast("double"),
+            "price_anomaly": hit["price"].cast("double"),
             "volume_anomaly": F.coalesce((volume > VOLUME_LABEL_ABOVE).cast("double"), F.lit(0.0)),
         }
     )
-    return labelled.drop(
-        *[f"_{c}_{part}" for c in ("price", "volume") for part in ("u", "min", "pick", "new", "hit")]
-    )
+    return labelled.drop("_place", *[f"_{c}_{part}" for c in ("price", "volume") for part in ("new", "hit")])

@@ -41,6 +41,18 @@ class Series:
         return (self.time, *self.ties)
 
 
+def buckets(df: DataFrame, places: dict[str, tuple[Column, Sequence[float]]]) -> DataFrame:
+    """Add the number of bounds at or below each given double expression; NULL lies below all."""
+    raw = {f"_raw{name}": F.coalesce(c, F.lit(-math.inf)) for name, (c, _) in places.items()}
+    cut = Bucketizer(
+        splitsArray=[[-math.inf, *bounds, math.inf] for _, bounds in places.values()],
+        inputCols=list(raw),
+        outputCols=[f"_cut{n}" for n in raw],
+    ).transform(df.withColumns(raw))
+    cut = cut.withColumns({name: F.col(f"_cut_raw{name}").cast("int") for name in places})
+    return cut.drop(*raw, *[f"_cut{n}" for n in raw])
+
+
 def sort_key(df: DataFrame, name: str) -> Column:
     """The order column as a double that sorts the same way (microseconds for times)."""
     dtype = df.schema[name].dataType
@@ -98,17 +110,7 @@ class Layout:
         """Add the time slice of each given double expression."""
         if not self.splits:
             return df.withColumns({name: F.lit(0) for name in columns})
-        raw = {f"_raw{name}": F.coalesce(c, F.lit(-math.inf)) for name, c in columns.items()}
-        bounds = [-math.inf, *self.splits, math.inf]
-        cut = Bucketizer(
-            splitsArray=[bounds] * len(raw),
-            inputCols=list(raw),
-            outputCols=[f"_cut{n}" for n in raw],
-        ).transform(df.withColumns(raw))
-        cut = cut.withColumns(
-            {name: F.col(f"_cut_raw{name}").cast("int") for name in columns}
-        )
-        return cut.drop(*raw, *[f"_cut{n}" for n in raw])
+        return buckets(df, {name: (c, self.splits) for name, c in columns.items()})
 
     def cells(self, df: DataFrame) -> DataFrame:
         """Add `_chunk` and `_sub`; (keys, _chunk, _sub) groups are bounded and ordered.

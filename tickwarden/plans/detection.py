@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwarden.operators import detectors as d
+from tickwarden.operators.arima import EVALUATIONS, FARTHEST, FIRST_DAMP, LEAST_GAIN, LEAST_MOVE, LEAST_STEPS, MOST_DAMP, STARTS
 from tickwarden.operators.scope import by_columns, rows, time_window, whole
 from tickwarden.plans.fixtures import STOCKS_SQL, TRADES_SQL, stocks, trades
 from tickwarden.plans.registry import query
@@ -131,6 +132,21 @@ def sliding_z_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _hits(d.enrich(trades(spark, sf_dir), "sliding", seconds=86400, threshold=3.0))
 
 
+@query(
+    f"""WITH {TRADES_SQL}, scored AS (
+  SELECT a.uuid, a.symbol,
+    coalesce(abs((a.price - avg(b.price)) / nullif(stddev_samp(b.price), 0)) > 3.0, false) AS price_flag,
+    coalesce(abs((a.volume - avg(b.volume)) / nullif(stddev_samp(b.volume), 0)) > 3.0, false) AS volume_flag
+  FROM trades a JOIN trades b ON b.symbol = a.symbol AND b.trade_us BETWEEN a.trade_us - 43200000000 AND a.trade_us
+    AND (b.trade_us < a.trade_us OR b.uuid <= a.uuid)
+  GROUP BY a.uuid, a.symbol, a.price, a.volume),
+flagged AS (SELECT * FROM scored) {HIT_SQL}"""
+)
+def sliding_z_row_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The window ends with the row itself, not with its instant."""
+    return _hits(d.enrich(trades(spark, sf_dir), "sliding", seconds=43200, threshold=3.0, peers=False))
+
+
 # Window seconds and thresholds; the trades here are minutes apart, so windows are hours.
 SWEEP = [(10800, 2.0), (21600, 2.5), (43200, 3.0), (86400, 3.0)]
 
@@ -277,16 +293,93 @@ def arima_residuals_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("uuid", F.round("residual", 6).alias("residual"))
 
 
-@query()
+def _arima_sql(source: str, keys: str, include_first: bool = False) -> str:
+    """The descent of the fit as a recursion over looks; a look reads each scope's differences in order."""
+    starts = ", ".join(f"({i}, {p}, {t})" for i, (p, t) in enumerate(STARTS))
+    now = {"a": "(x.w - phi * x.k - theta * p.a)", "b": "(-x.k - theta * p.b)", "d": "(-p.a - theta * p.d)"}
+    sums = {f"{i}{j}": f"p.{i}{j} + {now[i]} * {now[j]}" for i, j in ("aa", "ab", "ad", "bb", "bd", "dd")}
+    zero = ", ".join(f"'{name}': 0::DOUBLE" for name in [*now, *sums])
+    after = ", ".join(f"'{name}': {value}" for name, value in [*now.items(), *sums.items(), ("w", "x.w"), ("k", "x.k")])
+    read = f"list_reduce(list_prepend({{{zero}, 'w': 0::DOUBLE, 'k': 0::DOUBLE}}, l), lambda p, x: {{{after}}})"
+    better = "s.aa < o.cost"
+    first = "UNION ALL SELECT c.id, c.uuid, c.kind, c.value FROM chain c JOIN fitted f ON f.id = c.id WHERE c.step IS NULL" if include_first else ""
+
+    def taken(new: str, old: str) -> str:
+        return f"CASE WHEN {better} THEN {new} ELSE o.{old} END AS {old}"
+
+    def held(step: str) -> str:
+        return f"CASE WHEN a * d - b * b > 0 THEN greatest(-{FARTHEST}, least({FARTHEST}, {step} / (a * d - b * b)))"
+
+    return f"""long AS (
+  SELECT uuid, {keys}, trade_ts, 'price' AS kind, price AS value FROM {source}
+  UNION ALL SELECT uuid, {keys}, trade_ts, 'volume', volume FROM {source}),
+chain AS (
+  SELECT uuid, kind, value, dense_rank() OVER (ORDER BY kind, {keys}) AS id,
+    row_number() OVER w - 1 AS t, value - lag(value) OVER w AS step
+  FROM long WHERE value IS NOT NULL WINDOW w AS (PARTITION BY kind, {keys} ORDER BY trade_ts, uuid)),
+steps AS (
+  SELECT id, uuid, kind, t, step AS w, coalesce(lag(step) OVER (PARTITION BY id ORDER BY t), 0) AS back
+  FROM chain WHERE step IS NOT NULL),
+scopes AS (
+  SELECT id, list({{{zero}, 'w': w, 'k': back}} ORDER BY t) AS l FROM steps GROUP BY id HAVING count(*) >= {LEAST_STEPS}),
+starts (no, phi, theta) AS (VALUES {starts}),
+tried AS (
+  SELECT id, phi, theta, row_number() OVER (PARTITION BY id ORDER BY s.aa, no) AS place
+  FROM (SELECT id, no, phi, theta, {read} AS s
+        FROM (SELECT id, l, no, phi::DOUBLE AS phi, theta::DOUBLE AS theta FROM scopes CROSS JOIN starts) AS paired) AS r),
+look AS (
+  SELECT id, 0::DOUBLE AS u, 0::DOUBLE AS v, 'inf'::DOUBLE AS cost, 0::DOUBLE AS pp, 0::DOUBLE AS pt, 0::DOUBLE AS tt, 0::DOUBLE AS ep,
+    0::DOUBLE AS et, {FIRST_DAMP}::DOUBLE AS damp, phi / sqrt(1 - phi * phi) AS next_u, theta / sqrt(1 - theta * theta) AS next_v,
+    0 AS evaluations, 0 AS ended FROM tried WHERE place = 1
+  UNION ALL
+  SELECT id, u, v, cost, pp, pt, tt, ep, et, damp, next_u, next_v, evaluations,
+    CASE WHEN settled OR damp > {MOST_DAMP} OR greatest(abs(next_u / sqrt(1 + next_u * next_u) - u / sqrt(1 + u * u)),
+        abs(next_v / sqrt(1 + next_v * next_v) - v / sqrt(1 + v * v))) < {LEAST_MOVE} THEN 1
+      WHEN evaluations >= {EVALUATIONS} THEN 2 ELSE 0 END
+  FROM (
+    SELECT id, u, v, cost, pp, pt, tt, ep, et, damp, evaluations, settled,
+      {held("(u * (a * d - b * b) - (d * g - b * h))")} ELSE u END AS next_u, {held("(v * (a * d - b * b) - (a * h - b * g))")} ELSE v END AS next_v
+    FROM (
+      SELECT *, pp * du * du * (1 + damp) AS a, pt * du * dv AS b, tt * dv * dv * (1 + damp) AS d, ep * du AS g, et * dv AS h
+      FROM (
+        SELECT *, power(1 + u * u, -1.5) AS du, power(1 + v * v, -1.5) AS dv
+        FROM (
+          SELECT o.id, {taken("o.next_u", "u")}, {taken("o.next_v", "v")}, {taken("s.bb", "pp")}, {taken("s.bd", "pt")}, {taken("s.dd", "tt")},
+            {taken("s.ab", "ep")}, {taken("s.ad", "et")}, {taken("s.aa", "cost")}, CASE WHEN {better} THEN o.damp / 10 ELSE o.damp * 10 END AS damp,
+            o.evaluations + 1 AS evaluations, {better} AND o.cost - s.aa <= {LEAST_GAIN} * s.aa AS settled
+          FROM (
+            SELECT *, {read} AS s
+            FROM (SELECT k.*, c.l, next_u / sqrt(1 + next_u * next_u) AS phi, next_v / sqrt(1 + next_v * next_v) AS theta
+                  FROM look k JOIN scopes c ON c.id = k.id WHERE k.ended = 0) AS asked) AS o) AS accepted) AS turned) AS solved) AS moved),
+fitted AS (SELECT id, u / sqrt(1 + u * u) AS phi, v / sqrt(1 + v * v) AS theta FROM look WHERE ended > 0),
+path AS (
+  SELECT x.id, x.t, x.uuid, x.kind, x.w - f.phi * x.back AS e FROM fitted f JOIN steps x ON x.id = f.id AND x.t = 1
+  UNION ALL
+  SELECT x.id, x.t, x.uuid, x.kind, x.w - f.phi * x.back - f.theta * p.e
+  FROM path p JOIN steps x ON x.id = p.id AND x.t = p.t + 1 JOIN fitted f ON f.id = p.id),
+errors AS (SELECT id, uuid, kind, e FROM path {first}),
+judged AS (SELECT uuid, kind, coalesce(abs(e) > 3 * stddev_samp(e) OVER (PARTITION BY id), false) AS hit FROM errors),
+flagged AS (
+  SELECT s.uuid, s.symbol, coalesce(p.hit, false) AS price_flag, coalesce(v.hit, false) AS volume_flag FROM {source} s
+  LEFT JOIN judged p ON p.uuid = s.uuid AND p.kind = 'price' LEFT JOIN judged v ON v.uuid = s.uuid AND v.kind = 'volume')"""
+
+
+@query(f"WITH RECURSIVE {TRADES_SQL}, {_arima_sql('trades', 'symbol')} {HIT_SQL}")
 def arima_series_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _hits(d.enrich(trades(spark, sf_dir), "arima"))
 
 
-@query()
+@query(f"WITH RECURSIVE {BATCHED_SQL}, {_arima_sql('batched', 'symbol, batch_id')} {HIT_SQL}")
 def arima_rows15_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _hits(d.enrich(trades(spark, sf_dir), "arima", rows(15)))
 
 
+@query(f"WITH RECURSIVE {BATCHED_SQL}, {_arima_sql('batched', 'symbol, batch_id', include_first=True)} {HIT_SQL}")
+def arima_rows15_first_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first value of a batch counts as its own residual, as a model of differences fits nothing there."""
+    return _hits(d.enrich(trades(spark, sf_dir), "arima", rows(15), include_first=True))
+
+
 @query()
 def iforest_series_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _hits(d.enrich(trades(spark, sf_dir), "iforest"))

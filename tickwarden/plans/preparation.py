@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwarden.operators import clean, detectors, fill, inject, resample
+from tickwarden import session
+from tickwarden.operators import clean, detectors, fill, inject, resample, serve
 from tickwarden.operators.scope import rows, time_window
 from tickwarden.operators.series import Series
 from tickwarden.plans.detection import _z_sql
@@ -19,8 +20,12 @@ from tickwarden.plans.fixtures import (
     trades,
 )
 from tickwarden.plans.registry import query
+from tickwarden.schemas import DAILY_CSV
+from tickwarden.sources import files
 
 HOUR = 3600
+# Fixed value: how the daily file writes dates.
+DAILY_TEXT = "MM/dd/yyyy"
 
 
 def micros(df: DataFrame, *columns: str) -> DataFrame:
@@ -266,12 +271,16 @@ def unparsed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def portable_draws(purpose: str) -> Column:
     """Draws that both engines can work out from the id: different residues per purpose."""
     factor = {
-        "price_pick": 7919, "price_sign": 104729, "price_size": 1299709,
-        "volume_pick": 15485863, "volume_sign": 32452843, "volume_size": 49979687,
+        "price_sign": 104729, "price_size": 1299709, "volume_sign": 32452843, "volume_size": 49979687,
     }[purpose]
     return (F.pmod(F.col("uuid").cast("long") * factor + 17, F.lit(1009)) + 0.5) / 1009.0
 
 
+def portable_picks(column: str, k: Column, n: Column) -> Column:
+    """Places of draws, some of them named twice."""
+    return F.pmod(k * k * {"price": 7919, "volume": 15485863}[column] + 17, n)
+
+
 def _draw_sql(factor: int) -> str:
     return f"(((CAST(uuid AS BIGINT) * {factor} + 17) % 1009) + 0.5) / 1009.0::DOUBLE"
 
@@ -280,18 +289,20 @@ INJECTED_SQL = (
     TRADES_SQL
     + f""",
 drawn AS (
-  SELECT *, {_draw_sql(7919)} AS pu, {_draw_sql(104729)} AS ps, {_draw_sql(1299709)} AS pz,
-         {_draw_sql(15485863)} AS vu, {_draw_sql(32452843)} AS vs, {_draw_sql(49979687)} AS vz,
-         row_number() OVER (PARTITION BY symbol ORDER BY trade_ts, uuid) AS spot,
-         count(*) OVER (PARTITION BY symbol) AS n
+  SELECT *, {_draw_sql(104729)} AS ps, {_draw_sql(1299709)} AS pz, {_draw_sql(32452843)} AS vs, {_draw_sql(49979687)} AS vz,
+         row_number() OVER (PARTITION BY symbol ORDER BY trade_ts, uuid) - 1 AS spot
   FROM trades),
+sizes AS (SELECT symbol, count(*) AS n FROM trades GROUP BY 1 HAVING count(*) >= 3),
+draws AS (SELECT symbol, n, unnest(range(greatest(1, CAST(floor(0.05::DOUBLE * n) AS BIGINT)))) AS k FROM sizes),
 picked AS (
-  SELECT *, pu < 0.05 OR pu = min(pu) OVER () AS ppick, vu < 0.05 OR vu = min(vu) OVER () AS vpick FROM drawn),
+  SELECT DISTINCT symbol, 'price' AS kind, greatest(1, least((k * k * 7919 + 17) % n, n - 2)) AS spot FROM draws
+  UNION SELECT DISTINCT symbol, 'volume', greatest(1, least((k * k * 15485863 + 17) % n, n - 2)) FROM draws),
 near AS (
-  SELECT *, lag(price) OVER w AS p0, lead(price) OVER w AS p1, lag(volume) OVER w AS v0, lead(volume) OVER w AS v1,
-    spot > 1 AND spot < n AND (ppick OR (spot = 2 AND lag(ppick) OVER w) OR (spot = n - 1 AND lead(ppick) OVER w)) AS phit,
-    spot > 1 AND spot < n AND (vpick OR (spot = 2 AND lag(vpick) OVER w) OR (spot = n - 1 AND lead(vpick) OVER w)) AS vhit
-  FROM picked WINDOW w AS (PARTITION BY symbol ORDER BY trade_ts, uuid)),
+  SELECT d.*, lag(price) OVER w AS p0, lead(price) OVER w AS p1, lag(volume) OVER w AS v0, lead(volume) OVER w AS v1,
+    p.spot IS NOT NULL AS phit, v.spot IS NOT NULL AS vhit
+  FROM drawn d LEFT JOIN picked p ON p.symbol = d.symbol AND p.spot = d.spot AND p.kind = 'price'
+  LEFT JOIN picked v ON v.symbol = d.symbol AND v.spot = d.spot AND v.kind = 'volume'
+  WINDOW w AS (PARTITION BY d.symbol ORDER BY trade_ts, uuid)),
 planted AS (
   SELECT *,
     round((p0 + p1) / 2 + (CASE WHEN ps < 0.5 THEN -1.0 ELSE 1.0 END)::DOUBLE * (pz * (0.00001 * 4.5)::DOUBLE) * ((p0 + p1) / 2), 2) AS pnew,
@@ -304,7 +315,7 @@ labelled AS (
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inject.add_anomalies(trades(spark, sf_dir), 0.05, draws=portable_draws)
+    return inject.add_anomalies(trades(spark, sf_dir), 0.05, draws=portable_draws, picks=portable_picks)
 
 
 @query(f"WITH {INJECTED_SQL} SELECT uuid, price, price_anomaly FROM labelled")
@@ -358,3 +369,20 @@ SELECT CAST(day AS BIGINT) AS day, open, high, low, close, round(close - open, 4
 def ohlc_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     bars = clean.daily_spread(daily_bars(spark, sf_dir)).drop("total")
     return rounded(bars, 4, "diff_close_open", "diff_high_low")
+
+
+@query(
+    f"""WITH {BARS_SQL}
+SELECT CAST(day AS BIGINT) AS day, round(close - open, 4) AS diff_close_open, round(high - low, 4) AS diff_high_low FROM bars"""
+)
+def daily_file_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file of daily bars, newest first as data vendors send it, read, turned round and spread."""
+    path = session.scratch_path(spark, "daily")
+    bars = daily_bars(spark, sf_dir).withColumn("Date", F.date_format(F.date_from_unix_date(F.col("day").cast("int")), DAILY_TEXT))
+    named = bars.withColumnsRenamed({"close": "Close/Last", "open": "Open", "high": "High", "low": "Low"})
+    files.write_csv(named.orderBy(F.desc("day")).select(*DAILY_CSV.names), path)
+    read = files.read_csv(spark, path, DAILY_CSV, ["Close/Last", "Open", "High", "Low", "Date"])
+    dated = read.withColumn("day", F.unix_date(F.to_date("Date", DAILY_TEXT)).cast("long"))
+    plain = dated.withColumnsRenamed({"Close/Last": "close", "Open": "open", "High": "high", "Low": "low"})
+    spread = clean.daily_spread(serve.chronological(plain, "day"))
+    return rounded(spread, 4, "diff_close_open", "diff_high_low").select("day", "diff_close_open", "diff_high_low")

@@ -23,16 +23,45 @@ from tickwarden.plans.preparation import PREDICTED_SQL, micros
 from tickwarden.plans.registry import query
 from tickwarden.sources import decode, files, replay, stream, symbols
 from tickwarden.schemas import TABLE_SCHEMAS
-from tickwarden.streaming.job import start_job
-from tickwarden.streaming.sinks import read_table
-from tickwarden.streaming.windows import window_zscore
+from tickwarden.streaming.job import start_job, trades_from_messages
+from tickwarden.streaming.sinks import write_batch_table
+from tickwarden.streaming.store import Store
+from tickwarden.streaming.windowed import WindowJob
 
 FROM, TO = "2024-01-05 00:00:00", "2024-01-12 12:00:00"
 STORED = "uuid, symbol, price, volume, trade_us, ingestion_us"
+_STORES: dict[tuple[str, str, str], Store] = {}
+_ARRIVED: dict[tuple[str, str], str] = {}
+# Days of one micro-batch of the streamed queries.
+DAYS = 6
+
+
+def store(spark: SparkSession, sf_dir: str, name: str = "stocks") -> Store:
+    """A table as the live job leaves it, written once per application: two batches compacted, one waiting.
+
+    The anomaly tables are those of batches of 15, with the thresholds of their reads.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORES:
+        base = stocks(spark, sf_dir)
+        rows_of = {
+            "stocks": lambda: base,
+            "price_anomalies": lambda: detectors.enrich(base, "zscore", rows(15)).filter("price_flag"),
+            "volume_anomalies": lambda: detectors.enrich(base, "zscore", rows(15), threshold=2).filter("volume_flag"),
+        }
+        schema = TABLE_SCHEMAS[name]
+        table = rows_of[name]().select(*schema.names)
+        made = Store(spark, session.scratch_path(spark, f"store-{name}"), schema)
+        for batch_id, hours in enumerate(("< 10", "BETWEEN 10 AND 19", "> 19")):
+            if batch_id == 2:
+                made.compact()
+            write_batch_table(table.filter(f"hour(ingestion_ts) {hours}"), made.path, batch_id, None)
+        _STORES[key] = made
+    return _STORES[key]
 
 
 def _stored(df: DataFrame) -> DataFrame:
-    return micros(df.drop("batch_size"), "trade_ts", "ingestion_ts")
+    return micros(df.drop("batch_size", "batch_id", "trade_date"), "trade_ts", "ingestion_ts")
 
 
 @query(
@@ -40,7 +69,7 @@ def _stored(df: DataFrame) -> DataFrame:
 WHERE symbol = 'click' AND ingestion_ts >= TIMESTAMP '{FROM}' AND ingestion_ts <= TIMESTAMP '{TO}'"""
 )
 def range_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stored(serve.in_range(stocks(spark, sf_dir), "click", FROM, TO))
+    return _stored(store(spark, sf_dir).in_range("click", FROM, TO))
 
 
 @query(
@@ -48,7 +77,7 @@ def range_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
 WHERE symbol = 'click' AND ingestion_ts > TIMESTAMP '{FROM}' AND ingestion_ts < TIMESTAMP '{TO}'"""
 )
 def range_open(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stored(serve.in_range(stocks(spark, sf_dir), "click", FROM, TO, closed=False))
+    return _stored(store(spark, sf_dir).in_range("click", FROM, TO, closed=False))
 
 
 @query(
@@ -56,7 +85,7 @@ def range_open(spark: SparkSession, sf_dir: str) -> DataFrame:
 WHERE symbol = 'view' AND trade_ts >= TIMESTAMP '{TO}' - INTERVAL 15 MINUTE AND trade_ts <= TIMESTAMP '{TO}'"""
 )
 def trailing_15m(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stored(serve.trailing(stocks(spark, sf_dir), "view", TO, time="trade_ts"))
+    return _stored(store(spark, sf_dir).trailing("view", TO, time="trade_ts"))
 
 
 @query(
@@ -81,9 +110,7 @@ def base_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 WHERE price_flag AND symbol = 'click' AND ingestion_us BETWEEN epoch_us(TIMESTAMP '{FROM}') AND epoch_us(TIMESTAMP '{TO}')"""
 )
 def price_anomaly_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flagged = detectors.enrich(stocks(spark, sf_dir), "zscore", rows(15))
-    hits = serve.in_range(serve.price_anomalies(flagged), "click", FROM, TO)
-    return micros(hits, "trade_ts", "ingestion_ts")
+    return _stored(store(spark, sf_dir, "price_anomalies").in_range("click", FROM, TO))
 
 
 @query(
@@ -94,9 +121,7 @@ SELECT uuid, symbol, volume, trade_us, ingestion_us FROM flagged
 WHERE volume_flag AND symbol = 'click' AND ingestion_us BETWEEN epoch_us(TIMESTAMP '{FROM}') AND epoch_us(TIMESTAMP '{TO}')"""
 )
 def volume_anomaly_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flagged = detectors.enrich(stocks(spark, sf_dir), "zscore", rows(15), threshold=2)
-    hits = serve.in_range(serve.volume_anomalies(flagged), "click", FROM, TO)
-    return micros(hits, "trade_ts", "ingestion_ts")
+    return _stored(store(spark, sf_dir, "volume_anomalies").in_range("click", FROM, TO))
 
 
 @query(
@@ -104,12 +129,12 @@ def volume_anomaly_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORDER BY ingestion_ts DESC, uuid LIMIT 100"""
 )
 def newest_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stored(serve.newest(stocks(spark, sf_dir), "purchase", 100))
+    return _stored(store(spark, sf_dir).newest("purchase", 100))
 
 
 @query(f"WITH {TRADES_SQL} SELECT uuid, symbol, price, volume, trade_us FROM trades WHERE uuid = '777'")
 def lookup_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return micros(serve.lookup(trades(spark, sf_dir), "777"), "trade_ts")
+    return micros(store(spark, sf_dir).lookup("777").select("uuid", "symbol", "price", "volume", "trade_ts"), "trade_ts")
 
 
 @query(f"WITH {BARS_SQL} SELECT CAST(day AS BIGINT) AS day, open, high, low, close FROM bars ORDER BY day")
@@ -190,6 +215,18 @@ def envelope_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return micros(flat, "trade_ts").select("price", "symbol", "trade_us", "volume", "type")
 
 
+@query(
+    f"""WITH {TRADES_SQL}
+SELECT symbol, CAST(count(*) AS BIGINT) AS trades, CAST(2 * count(*) AS BIGINT) AS ids FROM trades GROUP BY 1"""
+)
+def message_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message sent twice: each trade of each has an id of its own."""
+    sent = decode.encode(envelopes(spark, sf_dir)).select(F.explode(F.array(F.lit(0), F.lit(1))).alias("partition"), "value")
+    numbered = sent.select("value", "partition", F.lit("trades").alias("topic"), F.xxhash64("value").alias("offset"))
+    found = trades_from_messages(numbered).groupBy("symbol", "uuid").agg(F.count(F.lit(1)).alias("n"))
+    return found.groupBy("symbol").agg((F.sum("n") / 2).cast("long").alias("trades"), F.count(F.lit(1)).alias("ids"))
+
+
 @query(
     f"""WITH {TRADES_SQL}
 SELECT CAST(to_json({{'data': [{{'c': NULL, 'p': price, 's': symbol, 't': 1735689600000, 'v': volume}}], 'type': 'trade'}}) AS VARCHAR) AS value
@@ -236,45 +273,66 @@ def trade_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_trades(stream.file_stream(spark, sf_dir, schema, pathGlobFilter="events.parquet"))
 
 
+def daily_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a stream of trades from a file per day, some days at a time, oldest first.
+
+    The files are written once per application; those of DAYS days are one job, so that the order of their
+    arrival follows the days.
+    """
+    from tickwarden.plans.fixtures import as_trades
+
+    source = events(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _ARRIVED:
+        path = session.scratch_path(spark, "days")
+        dated = source.withColumn("day", F.to_date("ts"))
+        days = [r["day"] for r in dated.select("day").distinct().sort("day").collect()]  # as many as days
+        for at in range(0, len(days), DAYS):
+            some = dated.filter(F.col("day").isin(days[at : at + DAYS])).repartition("day")
+            some.write.mode("append").partitionBy("day").parquet(path)
+        _ARRIVED[key] = path
+    return as_trades(stream.file_stream(spark, _ARRIVED[key], source.schema, files_per_batch=DAYS))
+
+
 @query(
     f"""WITH {TRADES_SQL}, windowed AS (
   SELECT *, trade_us // 21600000000 AS window_no FROM trades),
 {_z_sql('windowed', 'symbol, window_no')}
-SELECT uuid, symbol, price, volume, trade_us, price_flag, volume_flag FROM flagged
-WHERE (window_no + 1) * 21600000000 <= (SELECT max(trade_us) FROM trades) - 3600000000"""
+SELECT uuid, symbol, price, volume, trade_us, price_flag, volume_flag FROM flagged"""
 )
 def stream_event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flags of every event-time window the watermark has closed, from a streaming run."""
+    """Flags of every event-time window from a stream of several batches, the last windows closed by the end of input."""
     path = session.scratch_path(spark, "windows")
-    flagged = window_zscore(trade_stream(spark, sf_dir), width="6 hours", late="1 hour")
-    running = (
-        flagged.writeStream.format("parquet").outputMode("append")
-        .option("path", f"{path}/table").option("checkpointLocation", f"{path}/state")
-        .trigger(availableNow=True).start()
-    )
-    running.awaitTermination()
-    return micros(spark.read.parquet(f"{path}/table").drop("window_start"), "trade_ts")
+    windows = WindowJob(f"{path}/out", width="6 hours", late="1 hour")
+    windows.start(daily_stream(spark, sf_dir), f"{path}/state", {"availableNow": True}).awaitTermination()
+    windows.finish(spark)
+    return micros(windows.flagged(spark).drop("window_end"), "trade_ts")
 
 
 @query(
-    f"""WITH {TRADES_SQL}, stamped AS (SELECT *, 0 AS batch FROM trades), {_z_sql('stamped', 'batch', 1.6)}
-SELECT 'stocks' AS "table", CAST(count(*) AS BIGINT) AS n, CAST(count(*) AS BIGINT) AS batch_size FROM flagged
-UNION ALL SELECT 'price_anomalies', CAST(count(*) AS BIGINT), CAST(count(*) AS BIGINT) FROM flagged WHERE price_flag
-UNION ALL SELECT 'volume_anomalies', CAST(count(*) AS BIGINT), CAST(count(*) AS BIGINT) FROM flagged WHERE volume_flag"""
+    f"""WITH {TRADES_SQL}, stamped AS (
+  SELECT *, (dense_rank() OVER (ORDER BY trade_us // 86400000000) - 1) // {DAYS} AS batch FROM trades),
+{_z_sql('stamped', 'batch', 1.6)},
+parts AS (
+  SELECT 'stocks' AS "table", batch, count(*) AS n FROM flagged GROUP BY batch
+  UNION ALL SELECT 'price_anomalies', batch, count(*) FROM flagged WHERE price_flag GROUP BY batch
+  UNION ALL SELECT 'volume_anomalies', batch, count(*) FROM flagged WHERE volume_flag GROUP BY batch)
+SELECT "table", CAST(sum(n) AS BIGINT) AS n, CAST(max(n) AS BIGINT) AS batch_size, CAST(count(*) AS BIGINT) AS batches
+FROM parts GROUP BY 1"""
 )
 def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The live job over the events file as one micro-batch: rows of its three tables."""
+    """The live job over several micro-batches: rows of its three tables after compaction."""
     path = session.scratch_path(spark, "job")
-    arriving = trade_stream(spark, sf_dir).withColumn("ingestion_ts", F.current_timestamp())
+    arriving = daily_stream(spark, sf_dir).withColumn("ingestion_ts", F.current_timestamp())
     start_job(
         arriving, f"{path}/tables", f"{path}/state", "zscore", trigger={"availableNow": True},
         threshold=1.6,
     ).awaitTermination()
     parts = []
-    for name in ("stocks", "price_anomalies", "volume_anomalies"):
-        table = read_table(spark, f"{path}/tables/{name}", TABLE_SCHEMAS[name])
-        parts.append(
-            table.agg(F.count(F.lit(1)).alias("n"), F.max("batch_size").alias("batch_size"))
-            .withColumn("table", F.lit(name))
-        )
+    for name, schema in TABLE_SCHEMAS.items():
+        table = Store(spark, f"{path}/tables/{name}", schema)
+        table.compact()
+        batches = table.live().groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"))
+        counts = batches.agg(F.sum("n").alias("n"), F.max("n").alias("batch_size"), F.count(F.lit(1)).alias("batches"))
+        parts.append(counts.withColumn("table", F.lit(name)))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 CHUNK_ROWS = "spark.tickwarden.chunkRows"
 BROADCAST_ROWS = "spark.tickwarden.broadcastRows"
+# Where a local session without a named folder has its own; Spark's own setting is fixed once it runs.
+SCRATCH = "spark.tickwarden.scratchDir"
+_MADE: dict[str, list[str]] = {}
 
 # Rows one task may hold when a series has to be read in order.
 DEFAULT_CHUNK_ROWS = 1_000_000
@@ -44,20 +50,34 @@ def int_conf(spark: SparkSession, name: str, default: int) -> int:
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names; in local mode a new one where none is named."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SCRATCH, None)
     if not named:
         master = spark.sparkContext.master
         if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         named = tempfile.mkdtemp(prefix="tickwarden-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
+        spark.conf.set(SCRATCH, named)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(named)
     return named
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete what this application has put into scratch folders; results that still read them fail afterwards."""
+    gone = 0
+    for path in _MADE.pop(spark.sparkContext.applicationId, []):
+        store, own = fs.FileSystem.from_uri(path)
+        if store.get_file_info(own).type == fs.FileType.Directory:
+            store.delete_dir(own)
+            gone += 1
+    return gone
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -32,3 +33,17 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, form: str
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.load(path)
+
+
+def file_positions(messages: DataFrame) -> DataFrame:
+    """Add topic, partition and offset to messages read from files: the file, where its part begins, and the row.
+
+    A batch that is read again has the same files and parts, so its messages keep their positions.
+    """
+    within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return messages.select(
+        "*",
+        F.col("_metadata.file_path").alias("topic"),
+        F.col("_metadata.file_block_start").alias("partition"),
+        within.alias("offset"),
+    )
