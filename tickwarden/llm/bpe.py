@@ -3,21 +3,28 @@
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 import itertools
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickwarden.llm import common
 
-# Characters of the documents that are encoded together.
-BLOCK_CHARS = 12_000_000
+# Bytes of the texts that are encoded together.
+BLOCK_BYTES = 6_000_000
 # Distinct words a task remembers.
 MEMORY_WORDS = 400_000
+# Fixed value: a pattern that cuts before every single space.
+SPACED = frozenset({r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"})
+SIGNS = frozenset(".,;:!?")
+# A space before any white space or at the end.
+_UNEVEN = r" (?:[\s\x0b\x{85}\p{Z}]|$)"
 NO_RANK = np.iinfo(np.int32).max
 
 
@@ -158,54 +165,136 @@ class MergeReplay:
         return now[~hold], np.concatenate([skipped, now[hold]])
 
 
+class Words:
+    """Ids of a block's texts; each distinct piece of them is replayed once.
+
+    A pattern that takes at most one space before a piece and never ends a piece with a space that something else
+    follows cuts before every single space anyway, so texts are cut there first, and only distinct words are searched
+    by the pattern.  Texts with other white space after a space, and all texts under another pattern, are searched whole.
+    """
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str):
+        self.pattern, self.replay = regex.compile(pattern), MergeReplay(ranks)
+        self.spaced = pattern in SPACED
+        self.forget()
+
+    def forget(self):
+        self.words, self.pieces = _Numbered(), _Numbered()
+        self.of_word, self.of_piece = Lists(), Lists()
+
+    def numbers(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the words of all texts, one text after the other, and how many each has."""
+        size = pc.binary_length(texts).to_numpy()
+        whole = (size > 0) & (pc.match_substring_regex(texts, _UNEVEN).to_numpy(zero_copy_only=False) if self.spaced else True)
+        plain = np.flatnonzero((size > 0) & ~whole)
+        counts = whole.astype(np.int64)
+        found = np.zeros(0, np.int64)
+        if len(plain):
+            lists = pc.split_pattern(texts.take(pa.array(plain)), " ")
+            starts, flat = lists.offsets.to_numpy()[:-1] - lists.offsets[0].as_py(), lists.flatten()
+            coded = flat.dictionary_encode()
+            known = np.fromiter(map(self.words.__getitem__, coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))
+            found = known[coded.indices.to_numpy()]
+            found[starts] = [self.words[first,] for first in flat.take(pa.array(starts)).to_pylist()]
+            counts[plain] = np.diff(np.append(starts, len(found)))
+        ends = np.cumsum(counts)
+        numbers = np.empty(int(counts.sum()), np.int64)
+        numbers[_runs((ends - counts)[plain], counts[plain])] = found
+        rest = np.flatnonzero(whole)
+        numbers[(ends - counts)[rest]] = [self.words[t,] for t in texts.take(pa.array(rest)).to_pylist()]
+        return numbers, counts
+
+    def learn(self) -> None:
+        """Replay the pieces met since."""
+        numbers, counts = [], []
+        for word in itertools.islice(self.words, len(self.of_word.sizes), None):
+            if type(word) is tuple:
+                found = self.pattern.findall(word[0])
+            elif word.isalpha():
+                numbers.append(self.pieces[" " + word])
+                counts.append(1)
+                continue
+            elif word.isascii() and word[-1:] in SIGNS and word[:-1].isalpha():
+                found = (" " + word[:-1], word[-1])
+            else:
+                found = self.pattern.findall(" " + word)
+            numbers += [self.pieces[p] for p in found]
+            counts.append(len(found))
+        fresh = itertools.islice(self.pieces, len(self.of_piece.sizes), None)
+        self.of_piece.extend(*self.replay.encode_flat([p.encode("utf-8", "surrogatepass") for p in fresh]))
+        ids, sizes = self.of_piece.take(np.array(numbers, np.int64))
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        last = np.cumsum(np.array(counts, np.int64))
+        self.of_word.extend(ids, ends[last] - ends[last - np.array(counts, np.int64)])
+
+
+class _Numbered(dict):
+    """Numbers what it is asked for, in order."""
+
+    def __missing__(self, key):
+        self[key] = number = len(self)
+        return number
+
+
+class Lists:
+    """Lists of ids, one after the other."""
+
+    def __init__(self):
+        self.flat, self.sizes, self.starts = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def extend(self, flat: np.ndarray, sizes: np.ndarray) -> None:
+        self.flat, self.sizes = np.concatenate([self.flat, flat]), np.concatenate([self.sizes, sizes])
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def take(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The lists at `at`, joined, and their sizes."""
+        return self.flat[_runs(self.starts[at], self.sizes[at])], self.sizes[at]
+
+
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", out: str = "ids") -> DataFrame:
     """`docs` with the token ids (array<int>) of each whole text, as column `out` (replaced if there).
 
-    Each match of `pattern` is encoded by itself.  A task collects the distinct words of a block of
-    documents, keeps an inverted index from the mergeable pairs to their places in those words, and goes
+    Each match of `pattern` is encoded by itself.  A task collects the distinct matches in a block of
+    documents, keeps an inverted index from the mergeable pairs to their places in those, and goes
     through the merges in rank order, touching only neighbours of what it merged.  NULL and empty texts
-    have no ids.  A vocabulary is at most some hundred thousand entries and goes with the task.
+    have no ids; repeated rows each have theirs; an empty table gives an empty one.  A vocabulary is at most some
+    hundred thousand entries and goes with the task.
     """
     kept = [c for c in docs.columns if c != out]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != out)
+    return docs.select(*kept).mapInArrow(encoder(ranks, pattern, text, out), f"{schema}, `{out}` array<int>")
 
-    def run(batches):
-        split, replay = regex.compile(pattern), MergeReplay(ranks)
-        places: dict[str, int] = {}
-        flat, sizes = np.zeros(0, np.int32), np.zeros(0, np.int64)
-        block, chars = [], 0
-
-        def flush():
-            nonlocal flat, sizes
-            fresh = itertools.islice(places, len(sizes), None)
-            more, each = replay.encode_flat([w.encode("utf-8", "surrogatepass") for w in fresh])
-            flat, sizes = np.concatenate([flat, more]), np.concatenate([sizes, each])
-            starts = np.cumsum(sizes) - sizes
-            for batch, words in block:
-                ids = [flat[_runs(starts[w], sizes[w])] for w in words]
-                offsets = np.cumsum([0, *[len(i) for i in ids]])
-                values = pa.array(np.concatenate([*ids, np.zeros(0, np.int32)]), pa.int32())
-                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
-                yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*kept, out])
 
+def encoder(ranks: dict[bytes, int], pattern: str, text: str, out: str):
+    """What `encode` does to the batches of a task."""
+
+    def run(batches):
+        words = Words(ranks, pattern)
+
+        def coded(block):
+            rows = pa.Table.from_batches(block).combine_chunks()
+            numbers, counts = words.numbers(pc.fill_null(rows.column(text), "").combine_chunks())
+            words.learn()
+            ids, sizes = words.of_word.take(numbers)
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            offsets = np.concatenate([[0], ends[np.cumsum(counts)]])
+            lists = pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), pa.array(ids, pa.int32()))
+            made = rows.append_column(out, lists.cast(pa.list_(pa.int32())))
+            yield from made.to_batches(common.BATCH_ROWS)
+
+        block, size = [], 0
         for batch in batches:
-            words = []
-            for t in batch.column(text).to_pylist():
-                found = split.findall(t) if t else []
-                for w in found:
-                    if w not in places:
-                        places[w] = len(places)
-                words.append(np.fromiter(map(places.__getitem__, found), np.int32, len(found)))
-                chars += len(t) if t else 0
-            block.append((batch, words))
-            if chars >= BLOCK_CHARS:
-                yield from flush()
-                block, chars = [], 0
-                if len(places) > MEMORY_WORDS:
-                    places, flat, sizes = {}, flat[:0], sizes[:0]
-        yield from flush()
-
-    return docs.select(*kept).mapInArrow(run, f"{schema}, `{out}` array<int>")
+            block.append(batch)
+            size += batch.column(text).nbytes
+            if size >= BLOCK_BYTES:
+                yield from coded(block)
+                block, size = [], 0
+                if len(words.words) > MEMORY_WORDS:
+                    words.forget()
+        if block:
+            yield from coded(block)
+
+    return run
 
 
 def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -221,30 +310,51 @@ def decode(docs: DataFrame, ranks: dict[bytes, int], ids: str = "ids", out: str
     """
     kept = [c for c in docs.columns if c != out]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != out)
+    return docs.select(*kept).mapInArrow(decoder(ranks, ids, out), f"{schema}, `{out}` binary")
+
+
+def decoder(ranks: dict[bytes, int], ids: str, out: str):
+    """What `decode` does to the batches of a task."""
 
     def run(batches):
         token = {rank: piece for piece, rank in ranks.items()}
         for batch in batches:
-            texts = [b"".join(map(token.__getitem__, i or [])) for i in batch.column(ids).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], [*kept, out])
+            lists = batch.column(ids)
+            offsets = (lists.offsets.to_numpy() - lists.offsets[0].as_py()).tolist()
+            pieces = list(map(token.__getitem__, lists.flatten().to_numpy().tolist()))
+            texts = [b"".join(pieces[a:b]) for a, b in zip(offsets, offsets[1:])]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], [*batch.schema.names, out])
 
-    return docs.select(*kept).mapInArrow(run, f"{schema}, `{out}` binary")
+    return run
 
 
 def digests(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of each row of documents."""
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of each row of documents, encoded and decoded in one pass.
+
+    NULL and empty texts have no ids, and the digests of nothing; repeated rows have a row each; an empty table
+    gives no rows.  Other columns are not read, whatever their names.
+    """
     import public_tokenizers
 
     ranks = read_ranks(path or public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    coded = encode(docs.select("doc_id", "text"), ranks, pattern or public_tokenizers.PATTERN).drop("text")
-    coded = decode(coded, ranks)
-    listed = F.array_join(F.transform("ids", lambda i: i.cast("string")), " ")
-    return coded.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(listed, 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    there = encoder(ranks, pattern or public_tokenizers.PATTERN, "text", "ids")
+    back = decoder(ranks, "ids", "decoded")
+
+    def run(batches):
+        written = {rank: b"%d" % rank for rank in ranks.values()}
+        for batch in back(there(batches)):
+            lists = batch.column("ids")
+            offsets = (lists.offsets.to_numpy() - lists.offsets[0].as_py()).tolist()
+            numbers = list(map(written.__getitem__, lists.flatten().to_numpy().tolist()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(np.diff(offsets), pa.int64()),
+                 pa.array([hashlib.sha256(b" ".join(numbers[a:b])).hexdigest() for a, b in zip(offsets, offsets[1:])], pa.string()),
+                 pa.array([hashlib.sha256(t).hexdigest() for t in batch.column("decoded").to_pylist()], pa.string())],
+                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+            )
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op10_bpe(spark, sf_dir):
