@@ -359,13 +359,14 @@ def _composed(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 def _folded(summaries: DataFrame, keys: list[str]) -> DataFrame:
     """Compose neighbouring chunks, so that few reach the step."""
+    names = summaries.columns
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_chunk")
         numbers, products = _composed(pdf)
         line = {k: pdf[k].iloc[0] for k in (*keys, "_chunk", "_state")}
         line |= {"_steps": int(pdf["_steps"].sum()), "_numbers": numbers.ravel(), "_products": products.ravel()}
-        return pd.DataFrame([line], columns=summaries.columns)
+        return pd.DataFrame([line], columns=names)
 
     near = F.floor(F.col("_chunk") / FOLD)
     return summaries.groupBy(*keys, near.alias("_near")).applyInPandas(run, summaries.schema)

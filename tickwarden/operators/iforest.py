@@ -27,6 +27,8 @@ EULER = 0.5772156649
 BITS = 1 << 30
 # Trees grown in one call; a call holds this many samples.
 TREES_PER_TASK = 20
+# Bytes of all scopes' models that may go to every task.
+MODEL_BYTES = 64_000_000
 
 
 def average_path(n: float) -> float:
@@ -148,7 +150,8 @@ def scored(s: Scoped, columns: Sequence[str], ids: Sequence[str], chunk_rows: in
            trees: int = TREES, sample: int = SAMPLE) -> DataFrame:
     """The rows with `_score_<column>`: above 0.5 means isolated early, NULL has no score.
 
-    A scope's rows are dealt into as many parts as its size needs and its model is repeated
+    Where the models of all scopes are small together, by a bound from their number, they go to the tasks and rows
+    stay where they are.  Else a scope's rows are dealt into as many parts as its size needs and its model is repeated
     for each, so a hot scope is scored by many tasks.
     """
     keys = list(s.keys)
@@ -164,6 +167,8 @@ def scored(s: Scoped, columns: Sequence[str], ids: Sequence[str], chunk_rows: in
             {"_splits": f"_splits_{c}", "_scores": f"_scores_{c}"}
         )
         models = attach(models, model, keys, few, 0)
+    if s.counted[1] * len(columns) * trees * sample * 16 <= MODEL_BYTES:
+        return _scored_in_place(s, models, columns)
     parts = F.ceil(F.col("_n") / chunk_rows).cast("int")
     dealt = sized.withColumn(
         "_part", F.pmod(F.xxhash64(*[F.col(c) for c in ids]), parts).cast("int")
@@ -194,6 +199,37 @@ def scored(s: Scoped, columns: Sequence[str], ids: Sequence[str], chunk_rows: in
     return both.withColumns({m: F.when(~F.isnan(m), F.col(m)) for m in made})
 
 
+def _scored_in_place(s: Scoped, models: DataFrame, columns: Sequence[str]) -> DataFrame:
+    keys = list(s.keys)
+    # one row per scope, at most MODEL_BYTES
+    found = models.select(*keys, *[f"_{part}_{c}" for c in columns for part in ("splits", "scores")]).collect()
+    steps = {
+        c: [tuple(np.asarray(r[f"_{part}_{c}"]) if r[f"_{part}_{c}"] is not None else None for part in ("splits", "scores")) for r in found]
+        for c in columns
+    }
+    fields = [*[models.schema[k] for k in keys], T.StructField("_scope", T.IntegerType())]
+    numbers = models.sparkSession.createDataFrame([(*[r[k] for k in keys], i) for i, r in enumerate(found)], T.StructType(fields))
+    placed, made = s.attach(numbers).df, [f"_score_{c}" for c in columns]
+    out = T.StructType([*s.df.schema.fields, *[T.StructField(m, T.DoubleType()) for m in made]])
+
+    def look_up(frames):
+        for rows in frames:
+            scope = rows["_scope"].to_numpy()
+            for c in columns:
+                x = rows[c].to_numpy(dtype=float)
+                score = np.full(len(rows), np.nan)
+                for at in np.unique(scope):
+                    splits, scores = steps[c][int(at)]
+                    if splits is not None:
+                        own = (scope == at) & ~np.isnan(x)
+                        score[own] = scores[np.searchsorted(splits, x[own], side="left").clip(max=len(scores) - 1)]
+                rows[f"_score_{c}"] = score
+            yield rows[out.names]
+
+    scored_rows = placed.mapInPandas(look_up, out)
+    return scored_rows.withColumns({m: F.when(~F.isnan(m), F.col(m)) for m in made})
+
+
 def iforest(df: DataFrame, columns: Sequence[str], scope: Scope = whole(),
             series: Series = Series(), contamination: float = 0.05, seed: int = 42,
             trees: int = TREES, sample: int = SAMPLE) -> DataFrame:

@@ -49,15 +49,29 @@ def design(x: np.ndarray, lags: int) -> np.ndarray:
     )
 
 
-def _regress(gram: np.ndarray, lags: int, observed: float) -> tuple[float, float]:
-    """(residual sum of squares, t of the level) of the model with `lags` differences."""
-    use = list(range(lags + 2))
-    a, b = gram[np.ix_(use, use)], gram[use, -1]
-    inverse = np.linalg.pinv(a)
-    beta = inverse @ b
-    ssr = float(gram[-1, -1] - beta @ b)
-    spread = ssr / (observed - len(use)) * inverse[1, 1]
-    return ssr, float(beta[1] / math.sqrt(spread)) if spread > 0 else math.nan
+def eliminated(products: np.ndarray):
+    """The cross products after taking out one regressor after the other, the last column being what is explained.
+
+    After k steps the last entry is the residual sum of squares of the model with the first k regressors, so one
+    elimination serves all lags.  A regressor that the earlier ones explain takes nothing out.
+    """
+    left, least = products.copy(), 1e-12 * np.abs(np.diag(products)).max(initial=0)
+    for k in range(len(left) - 1):
+        if left[k, k] > least:
+            left = left - np.outer(left[:, k], left[k]) / left[k, k]
+        yield left
+
+
+def _level_t(products: np.ndarray, lags: int, observed: float) -> float:
+    """t of the level in the model with `lags` differences: the level is taken out last."""
+    order = [0, *range(2, lags + 2), 1, lags + 2]
+    *_, left, _ = eliminated(products[np.ix_(order, order)])
+    own, both, rest = left[-2, -2], left[-2, -1], left[-1, -1]
+    if own <= 1e-12 * abs(products[1, 1]):
+        return math.nan
+    ssr = rest - both * both / own
+    spread = ssr / (observed - lags - 2) / own
+    return float(both / own / math.sqrt(spread)) if spread > 0 else math.nan
 
 
 def solve(gram: np.ndarray, head: np.ndarray, rows: int, max_lag: int, auto: bool) -> tuple:
@@ -65,9 +79,10 @@ def solve(gram: np.ndarray, head: np.ndarray, rows: int, max_lag: int, auto: boo
     common = rows - 1 - max_lag
     best = max_lag
     if auto:
+        squares = [left[-1, -1] for left in eliminated(gram)][1:]
+
         def aic(k: int) -> float:
-            ssr = max(_regress(gram, k, common)[0], 1e-300)
-            return common * (math.log(2 * math.pi * ssr / common) + 1) + 2 * (k + 2)
+            return common * (math.log(2 * math.pi * max(squares[k], 1e-300) / common) + 1) + 2 * (k + 2)
 
         best = min(range(max_lag + 1), key=lambda k: (aic(k), k))
     use = [*range(best + 2), gram.shape[0] - 1]
@@ -76,7 +91,7 @@ def solve(gram: np.ndarray, head: np.ndarray, rows: int, max_lag: int, auto: boo
         extra = design(head, best)[: max_lag - best]
         full = full + extra.T @ extra
     observed = rows - 1 - best
-    return _regress(full, best, observed)[1], best, observed
+    return _level_t(full, best, observed), best, observed
 
 
 def adf(df: DataFrame, column: str, series: Series = Series(), max_lag: int | None = None,

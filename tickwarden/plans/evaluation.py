@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tickwarden.operators import detectors, evaluate
 from tickwarden.operators.scope import by_columns, rows, whole
 from tickwarden.operators.series import Series
-from tickwarden.plans.detection import _iqr_sql, _mad_sql, _z_sql
+from tickwarden.plans.detection import _arima_sql, _iqr_sql, _mad_sql, _z_sql
 from tickwarden.plans.fixtures import STOCKS_SQL, stocks
 from tickwarden.plans.preparation import INJECTED_SQL, labelled, rounded
 from tickwarden.plans.registry import query
@@ -147,6 +147,20 @@ def method_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(table, 6, *RATIOS)
 
 
+@query(
+    f"""WITH RECURSIVE {INJECTED_SQL}, {_arima_sql('labelled', 'symbol')},
+pairs AS (
+  SELECT 'price' AS "column", l.price_anomaly = 1 AS t, f.price_flag AS p FROM labelled l JOIN flagged f ON f.uuid = l.uuid
+  UNION ALL SELECT 'volume', l.volume > 0.2, f.volume_flag FROM labelled l JOIN flagged f ON f.uuid = l.uuid),
+matrix AS (SELECT 'arima' AS method, "column", {_counts_sql()} FROM pairs GROUP BY 1, 2)
+SELECT method, "column", tn, fp, fn, tp, {RATIOS_SQL} FROM matrix"""
+)
+def method_comparison_arima(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fitted residual detector on the labelled rows."""
+    truth = {"price": "price_anomaly", "volume": "volume_anomaly"}
+    return rounded(evaluate.compare_methods(labelled(spark, sf_dir), {"arima": {}}, truth), 6, *RATIOS)
+
+
 @query()
 def method_comparison_fitted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The two fitted detectors on the same labelled rows."""

@@ -264,7 +264,85 @@ def adf_lag0(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(rounded(kept, 5, "statistic"), 6, "crit_5pct")
 
 
-@query()
+def _normal_sql(z: str) -> str:
+    """The normal distribution function, from the series 1, 1 / 3, 1 / 3 5, ..."""
+    terms = f"list_sum(list_transform(range(0, 200), lambda n: exp((2 * n + 1) * ln(abs({z})) - list_sum(list_transform(range(0, n + 1), lambda m: ln(2 * m + 1))))))"
+    return f"""CASE WHEN abs({z}) > 12 THEN CASE WHEN {z} > 0 THEN 1.0 ELSE 0.0 END WHEN {z} = 0 THEN 0.5
+    ELSE 0.5 + sign({z}) * exp(-{z} * {z} / 2) / sqrt(2 * pi()) * {terms} END"""
+
+
+def _polynomial(x: str, terms: list[float]) -> str:
+    return " + ".join(f"{c}::DOUBLE * power({x}, {i})" for i, c in enumerate(terms))
+
+
+def _adf_sql(source: str, most: str) -> str:
+    """The test on `source` (name, i, v): lags up to `most` (SQL of n), one elimination for all of them, then the best again.
+
+    A matrix is a list of rows; taking out a regressor is a list_transform, and the last entry is what is unexplained.
+    """
+    take = (
+        "list_transform(m, lambda r: CASE WHEN m[k + 1][k + 1] > least THEN "
+        "list_transform(range(1, len(r) + 1), lambda j: r[j] - r[k + 1] * m[k + 1][j] / m[k + 1][k + 1]) ELSE r END)"
+    )
+
+    def matrix(name: str, cells: str) -> str:
+        return f"""{name}_sums AS (
+  SELECT a.name, a.at AS p, b.at AS q, sum(a.v * b.v) AS v FROM {cells} a JOIN {cells} b ON b.name = a.name AND b.i = a.i GROUP BY ALL),
+{name}_rows AS (SELECT name, p, list(v ORDER BY q) AS r FROM {name}_sums GROUP BY name, p),
+{name} AS (
+  SELECT g.name, 0 AS k, list(g.r ORDER BY g.p) AS m, 1e-12 * max(d.v) AS least FROM {name}_rows g
+  JOIN {name}_sums d ON d.name = g.name AND d.p = g.p AND d.q = g.p GROUP BY g.name
+  UNION ALL SELECT name, k + 1, {take}, least FROM {name} WHERE k < len(m) - 1)"""
+
+    p = f"CASE WHEN t > {stationarity.P_MAX} THEN 1.0 WHEN t < {stationarity.P_MIN} THEN 0.0 ELSE {_normal_sql('z')} END"
+    crits = ", ".join(f"round({_polynomial('(1.0::DOUBLE / observations)', c)}, 6) AS {name}" for name, c in stationarity.CRITICAL.items())
+    return f"""scaled AS (
+  SELECT name, i, n, {most} AS most, (v - avg(v) OVER w) / stddev_pop(v) OVER w AS x
+  FROM (SELECT name, v, row_number() OVER (PARTITION BY name ORDER BY i) AS i, count(*) OVER (PARTITION BY name) AS n FROM {source}) AS numbered
+  WINDOW w AS (PARTITION BY name)),
+moved AS (SELECT name, i, n, most, x, x - lag(x) OVER w AS step, lag(x) OVER w AS level FROM scaled WINDOW w AS (PARTITION BY name ORDER BY i)),
+-- 0: constant, 1: level, 2 to most + 1: earlier steps, most + 2: the step
+cells AS (
+  SELECT name, i, n, most, 0 AS at, 1.0::DOUBLE AS v FROM moved WHERE level IS NOT NULL
+  UNION ALL SELECT name, i, n, most, 1, level FROM moved WHERE level IS NOT NULL
+  UNION ALL SELECT name, i, n, most, most + 2, step FROM moved WHERE level IS NOT NULL
+  UNION ALL SELECT a.name, a.i, a.n, a.most, 1 + a.i - b.i, b.step FROM moved a JOIN moved b
+    ON b.name = a.name AND b.i < a.i AND b.i >= a.i - a.most AND b.step IS NOT NULL),
+shared AS (SELECT * FROM cells WHERE i > most + 1),
+{matrix('common', 'shared')},
+facts AS (SELECT name, any_value(n) AS n, any_value(most) AS most FROM moved GROUP BY name),
+chosen AS (
+  SELECT name, n, k - 2 AS lag FROM (
+    SELECT c.name, f.n, c.k, (f.n - 1 - f.most) * (ln(2 * pi() * greatest(c.m[f.most + 3][f.most + 3], 1e-300) / (f.n - 1 - f.most)) + 1) + 2 * c.k AS aic
+    FROM common c JOIN facts f ON f.name = c.name WHERE c.k >= 2) AS tried
+  QUALIFY row_number() OVER (PARTITION BY name ORDER BY aic, k) = 1),
+-- constant, earlier steps, level, step
+own AS (
+  SELECT c.name, c.i, CASE WHEN c.at = 0 THEN 0 WHEN c.at = 1 THEN h.lag + 1 WHEN c.at = c.most + 2 THEN h.lag + 2 ELSE c.at - 1 END AS at, c.v
+  FROM cells c JOIN chosen h ON h.name = c.name WHERE c.i > h.lag + 1 AND (c.at <= h.lag + 1 OR c.at = c.most + 2)),
+{matrix('fitted', 'own')},
+level AS (
+  SELECT h.name, h.n, h.lag, h.n - 1 - h.lag AS observations, m[h.lag + 2][h.lag + 2] AS ll, m[h.lag + 2][h.lag + 3] AS ly, m[h.lag + 3][h.lag + 3] AS yy
+  FROM chosen h JOIN fitted f ON f.name = h.name AND f.k = h.lag + 1),
+tested AS (SELECT *, ly / ll / sqrt((yy - ly * ly / ll) / (observations - lag - 2) / ll) AS t FROM level),
+surfaced AS (
+  SELECT *, CASE WHEN t <= {stationarity.P_SWITCH} THEN {_polynomial('t', stationarity.P_SMALL)} ELSE {_polynomial('t', stationarity.P_LARGE)} END AS z FROM tested),
+valued AS (SELECT *, {p} AS p FROM surfaced)
+SELECT name, CAST(n AS BIGINT) AS n, round(t, 5) AS statistic, round(p, 6) AS p, CAST(lag AS INTEGER) AS used_lag,
+  CAST(observations AS BIGINT) AS observations, {crits}, p <= 0.05 AS stationary FROM valued"""
+
+
+def _tested(table: DataFrame) -> DataFrame:
+    return rounded(rounded(table, 5, "statistic"), 6, "p", *stationarity.CRITICAL)
+
+
+@query(
+    f"""WITH RECURSIVE {TOTALS_SQL},
+both_ways AS (
+  SELECT 'levels' AS name, day AS i, total AS v FROM totals
+  UNION ALL SELECT 'differences', day, step FROM (SELECT day, total - lag(total) OVER (ORDER BY day) AS step FROM totals) AS s WHERE step IS NOT NULL),
+{_adf_sql('both_ways', "greatest(0, least(CAST(ceil(12 * power(n / 100.0, 0.25)) AS BIGINT), n // 2 - 2))")}"""
+)
 def adf_levels_and_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lag chosen by AIC, on the daily totals and on their differences."""
     levels = daily_totals(spark, sf_dir)
@@ -273,7 +351,18 @@ def adf_levels_and_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
         stationarity.adf(t, "total", DAILY_SERIES).withColumn("name", F.lit(n))
         for n, t in (("levels", levels), ("differences", steps))
     ]
-    return tests[0].unionByName(tests[1])
+    return _tested(tests[0].unionByName(tests[1]))
+
+
+@query(
+    f"""WITH RECURSIVE {TRADES_SQL},
+prices AS (SELECT symbol AS name, row_number() OVER (PARTITION BY symbol ORDER BY trade_ts, uuid) AS i, price AS v FROM trades),
+{_adf_sql('prices', '2')}"""
+)
+def adf_few_lags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Up to two lags by AIC, for each symbol."""
+    table = stationarity.adf(trades(spark, sf_dir), "price", max_lag=2)
+    return _tested(table.withColumnRenamed("symbol", "name"))
 
 
 def _decompose_sql(source: str, value: str, period: int, model: str) -> str:

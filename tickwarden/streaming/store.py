@@ -15,14 +15,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickwarden.operators import serve
-from tickwarden.streaming.sinks import read_table
 
 # Rows of a file that compaction aims at.
 FILE_ROWS = 1_000_000
@@ -71,8 +69,28 @@ class Store:
         return self.spark.read.parquet(f"{self.path}/_zones/v={version}")
 
     def waiting(self, upto: int) -> DataFrame:
-        """Rows of batches that no compaction has taken in; their folders tell, so others are not listed as files."""
-        return read_table(self.spark, self.path, self.schema).filter(F.col("batch_id") > upto).select(*self.columns)
+        """Rows of batches that no compaction has taken in: only their folders are looked into."""
+        folders = [f"{self.path}/{name}" for name, number in self._batches() if number > upto]
+        full = T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType()), T.StructField("trade_date", T.DateType())])
+        if not folders:
+            return self.spark.createDataFrame([], full).select(*self.columns)
+        return self.spark.read.schema(full).option("basePath", self.path).parquet(*folders).select(*self.columns)
+
+    def _batches(self) -> list[tuple[str, int]]:
+        """The batches' folders and numbers."""
+        names = [path.rpartition("/")[2] for path in self._folders(self.path)]
+        return [(name, int(name.partition("=")[2])) for name in names if name.startswith("batch_id=")]
+
+    def _system(self, path: str):
+        """Hadoop's file system for a path, as Spark's own readers have it."""
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return at.getFileSystem(self.spark._jsc.hadoopConfiguration()), at
+
+    def _folders(self, path: str) -> list[str]:
+        system, at = self._system(path)
+        if not system.exists(at):
+            return []
+        return [f"{path}/{s.getPath().getName()}" for s in system.listStatus(at) if s.isDirectory()]
 
     def _files(self, files: Sequence[str]) -> DataFrame:
         full = T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType()), T.StructField("trade_date", T.DateType()), T.StructField("v", T.IntegerType())])
@@ -151,19 +169,18 @@ class Store:
         Readers that began on an earlier version fail, so leave time after a compaction.
         """
         version, upto = self.version()
-        store, base = fs.FileSystem.from_uri(self.path)
         live = {(str(r["trade_date"]), r["v"]) for r in self.zones(version).select("trade_date", "v").distinct().collect()} if version else set()
-        gone = []
-        for info in store.get_file_info(fs.FileSelector(base, recursive=True, allow_not_found=True)):
-            parts = info.path.removeprefix(base).strip("/").split("/")
-            number = int(parts[-1].partition("=")[2]) if parts[-1].startswith(("batch_id=", "v=")) else None
-            if info.type != fs.FileType.Directory or number is None:
-                continue
-            day = len(parts) == 3 and parts[0] == "_days" and (parts[1].removeprefix("trade_date="), number) not in live and number <= version
-            other = len(parts) == 2 and parts[0] in ("_zones", "_blooms", "_commits") and number < version
-            if (len(parts) == 1 and number <= upto) or day or other:
-                store.delete_dir(info.path)
-                gone.append(info.path)
+        gone = [f"{self.path}/{name}" for name, number in self._batches() if number <= upto]
+        for day in self._folders(f"{self.path}/_days"):
+            for folder in self._folders(day):
+                number = int(folder.rpartition("=")[2])
+                if number <= version and (day.rpartition("=")[2], number) not in live:
+                    gone.append(folder)
+        for part in ("_zones", "_blooms", "_commits"):
+            gone += [f for f in self._folders(f"{self.path}/{part}") if int(f.rpartition("=")[2]) < version]
+        for folder in gone:
+            system, at = self._system(folder)
+            system.delete(at, True)
         return gone
 
     # ---- reads ----

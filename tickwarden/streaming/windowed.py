@@ -56,7 +56,8 @@ class WindowJob:
         ahead = F.lit(False)
         if self.early is not None:
             ahead = time > F.col(self.arrival) + F.expr(f"INTERVAL {self.early}")
-        end = F.unix_micros(F.window(time, self.width)["end"])
+        # a window of a missing time would drop the row
+        end = F.unix_micros(F.window(F.coalesce(time, F.timestamp_micros(F.lit(0))), self.width)["end"])
         reason = F.when(time.isNull(), "untimed").when(ahead, "early")
         if before is not None:
             reason = reason.when(end <= before, "late")
