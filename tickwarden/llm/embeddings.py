@@ -109,17 +109,21 @@ def near_vectors(
 
 def _decided(found: DataFrame, classes: DataFrame, least: float) -> DataFrame:
     """Pairs at the bound (n = -1) become links and counts if the cosine of the components as given says so."""
-    # a power of two takes no digits away, and keeps squares of very large or small numbers in range
-    size = F.array_max(F.transform("v", lambda x: F.abs(x.cast("double"))))
-    scaled = F.transform("v", lambda x: x.cast("double") / F.pow(F.lit(2.0), F.floor(F.log2(size))))
+    asked = found.filter("n = -1").select("a", "b")
+    if asked.isEmpty():
+        return found
+
+    def scaled(x):
+        # a power of two takes no digits away, and keeps squares of very large or small numbers in range
+        size = F.array_max(F.transform(x, lambda c: F.abs(c.cast("double"))))
+        return F.transform(x, lambda c: c.cast("double") / F.pow(F.lit(2.0), F.floor(F.log2(size))))
 
     def dot(x, y):
         return F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda s, p: s + p)
 
-    named = classes.select("cid", "many", scaled.alias("x"))
-    left = named.select(F.col("cid").alias("a"), F.col("x").alias("xa"))
-    right = named.select(F.col("cid").alias("b"), F.col("x").alias("xb"), "many")
-    pairs = found.filter("n = -1").select("a", "b").join(left, "a").join(right, "b")
+    left = classes.select(F.col("cid").alias("a"), F.col("v").alias("xa"))
+    right = classes.select(F.col("cid").alias("b"), F.col("v").alias("xb"), "many")
+    pairs = asked.join(left, "a").join(right, "b").withColumns({"xa": scaled(F.col("xa")), "xb": scaled(F.col("xb"))})
     cosine = dot(F.col("xa"), F.col("xb")) / (F.sqrt(dot(F.col("xa"), F.col("xa"))) * F.sqrt(dot(F.col("xb"), F.col("xb"))))
     linked = pairs.filter(cosine >= least)
     both = F.array(F.struct(F.col("b"), F.lit(0).cast("long").alias("n")), F.struct(F.lit(None).cast("long").alias("b"), F.col("many").alias("n")))
