@@ -321,3 +321,39 @@ def test_a_plain_local_session_has_scratch_space_and_clears_it(tmp_path):
     assert "cleared 1 0" in done.stdout, done.stderr[-2000:]
     folder = done.stdout.split("folder ")[1].split()[0]
     assert folder.startswith(str(tmp_path)) and not os.path.exists(folder)
+
+
+def jobs(spark, work):
+    """Spark jobs that `work` runs."""
+    group = f"group-{os.urandom(4).hex()}"
+    spark.sparkContext.setJobGroup(group, "counted")
+    try:
+        work()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_a_table_is_counted_once(spark, sf_dir, monkeypatch):
+    from tickwarden.operators import series as module
+
+    base = trades(spark, sf_dir).withColumn("truth", F.lit(0))
+
+    def compared():
+        runs = {"zscore": {}, "mad": {}, "iqr": {}, "sliding": {}, "prominence": {}}
+        return evaluate.compare_methods(base, runs, {"price": "truth", "volume": "truth"})
+
+    class Forgetful(module._Facts):
+        def get(self, about, *question, work):
+            return work()
+
+    with monkeypatch.context() as patch:
+        patch.setattr(module, "_FACTS", Forgetful())
+        each_time = jobs(spark, compared)
+        want = sorted(map(str, compared().collect()))
+    monkeypatch.setattr(module, "_FACTS", module._Facts())
+    once = jobs(spark, compared)
+    assert 0 < once <= each_time / 2
+    assert jobs(spark, compared) == 0 and sorted(map(str, compared().collect())) == want
+    # another table is counted for itself
+    assert module.count_groups(base.filter("symbol = 'click'"), ["symbol"]) != module.count_groups(base, ["symbol"])

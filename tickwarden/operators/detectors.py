@@ -21,6 +21,10 @@ from tickwarden.operators.scope import Scope, Scoped, scoped, whole
 from tickwarden.operators.series import Series, plan_layout, sliding
 from tickwarden.operators.trailing import MICROS, trailing_scores
 
+# Columns of an anomaly record, with the settings that produced it.
+RECORD = ("uuid", "price", "volume", "ingestion_ts", "symbol", "threshold", "window_size", "trade_ts")
+
+
 def flag_name(column: str) -> str:
     return f"{column}_flag"
 
@@ -167,12 +171,8 @@ def sweep(df: DataFrame, columns: Sequence[str], pairs: Sequence[tuple[float, fl
 
 def legacy_rows(df: DataFrame, threshold: float, window_size: int) -> DataFrame:
     """The anomaly record layout with the settings that produced it as constants."""
-    return df.select(
-        "uuid", "price", "volume", "ingestion_ts", "symbol",
-        F.lit(float(threshold)).alias("threshold"),
-        F.lit(int(window_size)).alias("window_size"),
-        "trade_ts",
-    )
+    constants = {"threshold": F.lit(float(threshold)), "window_size": F.lit(int(window_size))}
+    return df.withColumns(constants).select(*RECORD)
 
 
 def run_configurations(df: DataFrame, windows: Sequence[int], threshold: float, column: str,
@@ -191,9 +191,7 @@ def run_configurations(df: DataFrame, windows: Sequence[int], threshold: float,
     inner = Series((*series.keys, "window_size", "_frame"), series.time, series.ties)
     flagged = DETECTORS[method](wide, [column], whole(), inner, threshold=threshold)
     hits = flagged.filter(F.col(flag_name(column)))
-    return hits.withColumn("threshold", F.lit(float(threshold))).select(
-        "uuid", "price", "volume", "ingestion_ts", "symbol", "threshold", "window_size", "trade_ts"
-    )
+    return hits.withColumn("threshold", F.lit(float(threshold))).select(*RECORD)
 
 
 def enrich(df: DataFrame, method: str, scope: Scope = whole(), series: Series = Series(),

@@ -12,7 +12,7 @@ from earlier cells out of a small per-cell summary.
 from __future__ import annotations
 
 import math
-from collections import Counter
+from collections import Counter, OrderedDict
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -175,14 +175,42 @@ def for_python(
     return table, series, finish
 
 
+class _Facts:
+    """What was found out about a table, for the next operator that asks of the same plan.
+
+    Facts only choose between ways to the same result, so one that a changed file has made stale costs time and nothing else.
+    """
+
+    def __init__(self, most: int = 256):
+        self.most, self.found = most, OrderedDict()
+
+    def get(self, about: DataFrame, *question, work: Callable[[], object]):
+        key = (about.sparkSession.sparkContext.applicationId, about.semanticHash(), *question)
+        known = self.found.get(key)
+        if known is None or not known[0].sameSemantics(about):
+            self.found[key] = known = (about, work())
+            while len(self.found) > self.most:
+                self.found.popitem(last=False)
+        self.found.move_to_end(key)
+        return known[1]
+
+
+_FACTS = _Facts()
+
+
 def count_groups(df: DataFrame, keys: Sequence[str]) -> tuple[int, int, int]:
-    """(rows, distinct keys, rows of the largest key), counted map-side over the key columns."""
-    if not keys:
-        rows = df.count()
-        return rows, 1, rows
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    found = sizes.agg(F.sum("_n"), F.count(F.lit(1)), F.max("_n")).first()
-    return found[0] or 0, max(1, found[1]), found[2] or 0
+    """(rows, distinct keys, rows of the largest key), counted map-side over the key columns, once for the same table."""
+    about = df.select(*[F.col(k) for k in keys]) if keys else df
+
+    def count() -> tuple[int, int, int]:
+        if not keys:
+            rows = df.count()
+            return rows, 1, rows
+        sizes = about.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        found = sizes.agg(F.sum("_n"), F.count(F.lit(1)), F.max("_n")).first()
+        return found[0] or 0, max(1, found[1]), found[2] or 0
+
+    return _FACTS.get(about, "groups", tuple(keys), work=count)
 
 
 def plan_layout(
@@ -192,7 +220,7 @@ def plan_layout(
     known: tuple[int, int, int] | None = None,
 ) -> Layout:
     """One pass over the key columns (unless `known` has its result), and one over the time
-    column when some series does not fit one task."""
+    column when some series does not fit one task; none for a table looked at before."""
     spark = df.sparkSession
     size = chunk_rows or session.int_conf(spark, session.CHUNK_ROWS, session.DEFAULT_CHUNK_ROWS)
     small = session.int_conf(spark, session.BROADCAST_ROWS, session.DEFAULT_BROADCAST_ROWS)
@@ -203,9 +231,11 @@ def plan_layout(
         return Layout(**facts)
     parts = min(MAX_CHUNKS, math.ceil(rows / size))
     points = [i / parts for i in range(1, parts)]
-    cuts = df.agg(
-        F.percentile_approx(sort_key(df, series.time), points, 8 * parts).alias("cuts")
-    ).first()["cuts"]
+    times = df.select(sort_key(df, series.time).alias("_time"))
+    cuts = _FACTS.get(
+        times, "cuts", parts,
+        work=lambda: times.agg(F.percentile_approx("_time", points, 8 * parts).alias("cuts")).first()["cuts"],
+    )
     seen = Counter(cuts or [])
     heavy = {value: times for value, times in seen.items() if times > 1}
     return Layout(**facts, splits=tuple(sorted(seen)), heavy=heavy)

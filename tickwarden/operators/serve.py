@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Columns of the base table; an anomaly table has those of its own value.
 BASE_COLUMNS = ("uuid", "symbol", "price", "volume", "trade_ts", "ingestion_ts")
-PRICE_COLUMNS = ("uuid", "symbol", "price", "trade_ts", "ingestion_ts")
-VOLUME_COLUMNS = ("uuid", "symbol", "volume", "trade_ts", "ingestion_ts")
+PRICE_COLUMNS = tuple(c for c in BASE_COLUMNS if c != "volume")
+VOLUME_COLUMNS = tuple(c for c in BASE_COLUMNS if c != "price")
 
 
 def base_rows(flagged: DataFrame) -> DataFrame:
