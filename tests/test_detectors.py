@@ -179,11 +179,12 @@ def test_clamps_compose(values, cut, p):
 def test_stretch_terms_give_the_residual_sum(steps, phi, theta):
     w = np.array(steps)
     back = np.append(0.0, w[:-1])
-    made = arima.long_terms(w, back, np.array([phi]), np.array([theta]))
-    e = np.array(arima.residuals(w, back, phi, theta, 0.0))
-    assert np.isclose(made.aa[0], (e**2).sum()) and np.isclose(made.a[0], e[-1])
-    later = np.array(arima.residuals(w, back, phi, theta, 2.0))
-    assert np.isclose(made.aa[0] + 4 * made.ab[0] + 4 * made.bb[0], (later**2).sum())
+    (m, _, a, _, _), products = arima.long_stretch(w, back, np.array([phi]), np.array([theta]))
+    e = arima.residuals(w, back, phi, theta, 0.0)
+    assert np.isclose(products[2, 2, 0], (e**2).sum()) and np.isclose(a[0], e[-1])
+    later = arima.residuals(w, back, phi, theta, 2.0)
+    assert np.isclose(products[2, 2, 0] + 4 * products[0, 2, 0] + 4 * products[0, 0, 0], (later**2).sum())
+    assert np.isclose(a[0] + 2 * m[0], later[-1])
 
 
 def simulated(n, phi, theta, seed=5):
@@ -196,7 +197,7 @@ def simulated(n, phi, theta, seed=5):
 
 def test_fit_recovers_parameters():
     w = simulated(5000, 0.5, 0.3)
-    phi, theta = arima.fit_long(w, np.append(0.0, w[:-1]))
+    phi, theta = arima.parameters(arima.fit_long(w, np.append(0.0, w[:-1])))
     assert abs(phi - 0.5) < 0.05 and abs(theta - 0.3) < 0.06
 
 
@@ -232,7 +233,7 @@ def test_arima_short_scopes_equal_the_plain_fit(spark):
         part = x[start : start + 30]
         w = np.diff(part)
         back = np.append(0.0, w[:-1])
-        e = np.array(arima.residuals(w, back, *arima.fit_long(w, back), 0.0))
+        e = np.array(arima.residuals(w, back, *arima.parameters(arima.fit_long(w, back)), 0.0))
         want = [False, *(np.abs(e) > 3 * e.std(ddof=1))]
         assert [got[f"{start + i:04d}"] for i in range(len(part))] == want
 

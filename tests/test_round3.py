@@ -266,12 +266,15 @@ def test_windows_of_any_size_of_batch_agree(spark, sf_dir, tmp_path, method):
 
 def test_messages_need_a_position(spark, tmp_path):
     lines = ['{"data":[{"c":null,"p":1.0,"s":"a","t":1000,"v":1.0}],"type":"trade"}'] * 3
-    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(str(tmp_path / "in"))
-    texts = spark.read.text(str(tmp_path / "in"))
+    sent = spark.createDataFrame([(x,) for x in lines], "value string").repartition(1)
+    sent.write.text(str(tmp_path / "texts"))
+    sent.write.parquet(str(tmp_path / "rows"))
+    texts, stored = spark.read.text(str(tmp_path / "texts")), spark.read.parquet(str(tmp_path / "rows"))
     with pytest.raises(ValueError):
         job.trades_from_messages(texts)
-    assert job.trades_from_messages(stream.file_positions(texts)).select("uuid").distinct().count() == 3
-    assert job.trades_from_messages(texts, position=[]).select("uuid").distinct().count() == 1
+    ids = lambda messages, **more: job.trades_from_messages(messages, **more).select("uuid").distinct().count()
+    assert ids(stream.file_positions(stored)) == 3
+    assert ids(stream.file_positions(texts)) == ids(texts, position=[]) == 1
 
 
 # ---- draws and agreement ---------------------------------------------------------------------------
@@ -353,7 +356,7 @@ def test_a_table_is_counted_once(spark, sf_dir, monkeypatch):
         want = sorted(map(str, compared().collect()))
     monkeypatch.setattr(module, "_FACTS", module._Facts())
     once = jobs(spark, compared)
-    assert 0 < once <= each_time / 2
+    assert 0 < once <= 0.6 * each_time
     assert jobs(spark, compared) == 0 and sorted(map(str, compared().collect())) == want
     # another table is counted for itself
     assert module.count_groups(base.filter("symbol = 'click'"), ["symbol"]) != module.count_groups(base, ["symbol"])

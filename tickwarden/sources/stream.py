@@ -36,14 +36,13 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, form: str
 
 
 def file_positions(messages: DataFrame) -> DataFrame:
-    """Add topic, partition and offset to messages read from files: the file, where its part begins, and the row.
+    """Add topic and partition to messages read from files, tables or streams: the file, and where its part begins.
 
-    A batch that is read again has the same files and parts, so its messages keep their positions.
+    Parquet files also tell the row, as offset.  Of other forms equal messages in one part of a file stay alike.  A
+    batch that is read again has the same files and parts, so its messages keep their positions.
     """
-    within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    return messages.select(
-        "*",
-        F.col("_metadata.file_path").alias("topic"),
-        F.col("_metadata.file_block_start").alias("partition"),
-        within.alias("offset"),
-    )
+    where = F.col("_metadata")
+    columns = [where["file_path"].alias("topic"), where["file_block_start"].alias("partition")]
+    if "row_index" in messages.select("_metadata").schema["_metadata"].dataType.names:
+        columns.append(where["row_index"].alias("offset"))
+    return messages.select("*", *columns)

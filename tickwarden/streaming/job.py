@@ -24,14 +24,14 @@ def trades_from_messages(stream: DataFrame, form: str = "json", payload: str = "
                          position: Sequence[str] | None = None) -> DataFrame:
     """Typed trades with an id each: equal trades differ by message and place in the message.
 
-    `position` names the columns that tell messages apart, by default topic, partition and
-    offset; a stream of files has them from `stream.file_positions`.  An empty `position` says that equal messages
-    may share their ids.
+    `position` names the columns that tell messages apart, by default those of topic, partition and
+    offset that are there; a stream of files has them from `stream.file_positions`.  An empty `position` says that
+    equal messages may share their ids.
     """
     if position is None:
-        position = ["topic", "partition", "offset"]
-        if missing := [c for c in position if c not in stream.columns]:
-            raise ValueError(f"nothing tells equal messages apart: no {', '.join(missing)}; name the columns that do")
+        position = [c for c in ("topic", "partition", "offset") if c in stream.columns]
+        if not position:
+            raise ValueError("nothing tells equal messages apart: name the columns that do")
     at = F.concat_ws(",", *[F.col(c).cast("string") for c in position])
     messages = decode(stream.select(F.col(payload), at.alias("_position")), payload, form)
     flat = explode_trades(messages, place="_place")
