@@ -5,7 +5,7 @@ from its parent's by enough for what it costs; next-symbol probabilities are smo
 position is scored by the longest kept suffix of what stands before it.
 
 The model grows with the corpus, so it is neither gathered nor broadcast.  Documents lie in chunks of a
-bounded number of tokens.  A chunk sends its distinct keys (48 bits and the part of the 64-bit hashes of
+bounded number of tokens.  A chunk sends its distinct keys (52 bits of the hashes of
 words, word sequences or contexts) with its own sums; each key's total over the corpus comes back in the order asked.  Counting and looking
 up are thus one exchange, in which a key occurs at most once per chunk, however frequent it is.
 """
@@ -24,7 +24,9 @@ from tickwarden.llm import common
 
 CHUNK_TOKENS = 2_000_000
 # Tokens of the corpus for each part of the key space.
-PART_TOKENS = 1 << 20
+PART_TOKENS = 1 << 22
+# Bits of a hash that tell words and contexts apart, those of the part included.
+KEY_BITS = 52
 # Occurrences in training of a context that may become a node, whatever the size of the corpus, and of a
 # symbol kept after it.
 LEAST_CONTEXT, LEAST_SYMBOL = 12, 2
@@ -123,18 +125,23 @@ class Chunk:
 
     def ask(self, kind: int, keys: np.ndarray, sums: list[np.ndarray]):
         """Requests, a row for each part of the key space."""
-        order, cuts, low = self._dealt(keys)
-        for a, b in zip(cuts[:-1], cuts[1:]):
+        order, cuts, high = self._dealt(keys)
+        for part, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
             if b > a:
                 own = order[a:b]
-                high = (keys[own] >> np.uint64(16)).view(np.uint8).reshape(-1, 8)[:, :6]
-                # the part has the low bits
-                yield kind, int(low[own[0]]), b - a, high.tobytes(), [_pack(s[own].astype(KIND[kind])) for s in sums]
+                # the part has the low bits; the others travel as steps from key to key
+                steps = np.diff(high[a:b], prepend=np.uint64(0))
+                yield kind, part, b - a, _pack(steps), [_pack(s[own].astype(KIND[kind])) for s in sums]
 
     def _dealt(self, keys):
-        low = (keys & np.uint64(self.parts - 1)).astype(np.int64)
-        order = np.argsort(low, kind="stable")
-        return order, np.searchsorted(low[order], np.arange(self.parts + 1)), low
+        """Places of the keys by part and then key, the parts' bounds, and the sorted keys' first bits, KEY_BITS with those of the part."""
+        rest = np.uint64(KEY_BITS - (self.parts - 1).bit_length())
+        low = keys & np.uint64(self.parts - 1)
+        both = low << rest | keys >> np.uint64(64) - rest
+        order = np.argsort(both)
+        both = both[order]
+        cuts = np.searchsorted(both >> rest, np.arange(self.parts + 1, dtype=np.uint64))
+        return order, cuts, both & (np.uint64(1) << rest) - np.uint64(1)
 
     def totals(self, kind: int, keys: np.ndarray) -> np.ndarray:
         out = np.zeros(len(keys))
@@ -264,9 +271,8 @@ def _totals(asked: DataFrame) -> DataFrame:
     def add(rows: pd.DataFrame) -> pd.DataFrame:
         kind = int(rows["kind"].iat[0])
         n = rows["n"].to_numpy(np.int64)
-        wide = np.zeros((int(n.sum()), 8), np.uint8)
-        wide[:, :6] = np.frombuffer(b"".join(rows["keys"]), np.uint8).reshape(-1, 6)
-        keys, place = np.unique(wide.reshape(-1).view(np.uint64), return_inverse=True)
+        asked = np.concatenate([np.cumsum(_unpack(raw, k, np.uint64), dtype=np.uint64) for raw, k in zip(rows["keys"], n)])
+        keys, place = np.unique(asked, return_inverse=True)
         columns = len(rows["sums"].iat[0])
         totals = [
             np.bincount(place, np.concatenate([_unpack(s[c], k, KIND[kind]) for s, k in zip(rows["sums"], n)]), len(keys))
@@ -296,8 +302,8 @@ def score(docs: DataFrame, train: str, doc_id: str = "doc_id", text: str = "text
     ASCII white space, A-Z lowered, and an end.  base_score is the add-one unigram log10 probability, score
     the tree's.  NULL and blank texts are an end alone.  Other columns are ignored, repeated rows count
     each, an empty table gives no rows.  Without training rows every symbol has probability 1.
-    Words and contexts are told apart by 48 + log2(parts) bits of their hashes (52 at least), as keys travel
-    without the rest: of n keys about n**2 / 2**(49 + log2(parts)) pairs collide, and their counts are added.
+    Words and contexts are told apart by 52 bits of their hashes, as keys travel without the rest: of n keys
+    about n**2 / 2**53 pairs collide, and their counts are added.  Counts of pairs and triples come back to seven digits.
     `docs` must read the same each time (a stored table), as lost tasks are run again.
     """
     spark = docs.sparkSession
