@@ -327,7 +327,7 @@ level AS (
 tested AS (SELECT *, ly / ll / sqrt((yy - ly * ly / ll) / (observations - lag - 2) / ll) AS t FROM level),
 surfaced AS (
   SELECT *, CASE WHEN t <= {stationarity.P_SWITCH} THEN {_polynomial('t', stationarity.P_SMALL)} ELSE {_polynomial('t', stationarity.P_LARGE)} END AS z FROM tested),
-valued AS (SELECT *, {p} AS p FROM surfaced)
+valued AS (SELECT *, greatest(0::DOUBLE, {p}) AS p FROM surfaced)
 SELECT name, CAST(n AS BIGINT) AS n, round(t, 5) AS statistic, round(p, 6) AS p, CAST(lag AS INTEGER) AS used_lag,
   CAST(observations AS BIGINT) AS observations, {crits}, p <= 0.05 AS stationary FROM valued"""
 
