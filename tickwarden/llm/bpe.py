@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 from tickwarden.llm import common
 
 # Bytes of the texts that are encoded together.
-BLOCK_BYTES = 6_000_000
+BLOCK_BYTES = 10_000_000
 # Distinct words a task remembers.
-MEMORY_WORDS = 400_000
+MEMORY_WORDS = 600_000
 # Fixed value: a pattern that cuts before every single space.
 SPACED = frozenset({r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"})
 SIGNS = frozenset(".,;:!?")
