@@ -50,18 +50,17 @@ def without_boilerplate(docs: DataFrame, sites: int = SITES) -> DataFrame:
     kept = [c for c in docs.columns if c not in ("n_lines", "n_removed", "emptied")]
     # the table's own columns travel as one, so that none of their names can clash
     whole = F.struct(*[docs[f"`{c}`"].alias(c) for c in kept])
-    docs = docs.select(
-        whole.alias("row"), docs["doc_id"].alias("id"), docs["source"].alias("site"), F.xxhash64(docs["text"]).alias("key"),
-        F.split(docs["text"], "\n", -1).alias("lines"),
-    )
-    rows = docs.select(F.col("id").alias("doc_id"), "key", F.col("site").alias("source"), F.posexplode("lines").alias("place", "line"))
+    rows = docs.select(docs["doc_id"], F.xxhash64(docs["text"]).alias("key"), docs["source"], F.posexplode(F.split(docs["text"], "\n", -1)).alias("place", "line"))
     rows = rows.filter(_written(F.col("line")))
     rows = common.stored(rows.select("doc_id", "key", "source", "place", F.xxhash64("line").alias("h"), F.hash("line").alias("g")), "lines")
+    # a text is cut into lines again after the join, so that it moves once
+    docs = docs.select(whole.alias("row"), docs["doc_id"].alias("id"), F.xxhash64(docs["text"]).alias("key"))
     spread = common.small(common.stored(boilerplate(rows, sites), "boilerplate"), FEW_ROWS)
     is_first = F.struct("doc_id", "key", "place").eqNullSafe(F.col("first"))
     gone = rows.join(spread, ["h", "g"]).filter(~is_first).groupBy(F.col("doc_id").alias("gone_id"), F.col("key").alias("gone_key")).agg(F.collect_set("place").alias("gone"))
     gone = common.stored(gone, "removed-lines")
     both = docs.join(gone, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("key") == F.col("gone_key")), "left")
+    both = both.withColumn("lines", F.split(F.col("row")["text"], "\n", -1))
     places = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
     cleaned = F.array_join(F.transform(places, lambda p: F.get(F.col("lines"), p)), "\n")
     own = {c: F.col("row")[c] for c in kept}
