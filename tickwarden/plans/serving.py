@@ -42,7 +42,7 @@ def store(spark: SparkSession, sf_dir: str, name: str = "stocks") -> Store:
     The anomaly tables are those of batches of 15, with the thresholds of their reads.
     """
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _STORES:
+    if key not in _STORES or not _STORES[key].exists():
         base = stocks(spark, sf_dir)
         rows_of = {
             "stocks": lambda: base,
@@ -283,7 +283,7 @@ def daily_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     source = events(spark, sf_dir)
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _ARRIVED:
+    if key not in _ARRIVED or not Store(spark, _ARRIVED[key], source.schema).exists():
         path = session.scratch_path(spark, "days")
         dated = source.withColumn("day", F.to_date("ts"))
         days = [r["day"] for r in dated.select("day").distinct().sort("day").collect()]  # as many as days

@@ -59,6 +59,9 @@ class Store:
     def columns(self) -> list[str]:
         return [*self.schema.names, "batch_id", "trade_date"]
 
+    def exists(self) -> bool:
+        return bool(self._folders(self.path))
+
     def version(self) -> tuple[int, int]:
         """(version, last batch in it); (0, -1) before the first compaction."""
         commits = _there(lambda: self.spark.read.schema("upto long, v int").parquet(f"{self.path}/_commits"))
