@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickwarden.llm import common
@@ -17,7 +17,14 @@ PATTERNS = {
 }
 # What a text must hold for a pattern to be tried.
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
-_TOKEN = r"(?<!\S)[^\s0-9]*+[0-9]\S*+"
+# What may be taken for a kind by its context: words with a digit, words without one that hold an @ or stand-in, and
+# groups of digits apart by spaces.
+CANDIDATES = {
+    "tokens": r"(?<!\S)[^\s0-9]*+[0-9]\S*+",
+    "addresses": r"(?<!\S)(?=[^\s0-9]*+(?!\S))(?=\S*?(?:@|\((?i:at)\)|\[(?i:at)\]))\S++",
+    "groups": r"(?<![^\s\"'\[<:;,])[(+]?[0-9][0-9()./_-]*+(?:\x20++\(?[0-9][0-9()./_-]*+(?=[^\sA-Za-z0-9]*+(?!\S)))++",
+}
+CANDIDATE_HINTS = {"tokens": "[0-9]", "addresses": r"@|\((?i:at)\)|\[(?i:at)\]", "groups": r"[0-9][()./_-]*+\x20++\(?[0-9]"}
 # What a token must look like to be taken for a kind by its context.
 SHAPES = {
     "email": r"[^@\s]+(?:@|\(at\)|\[at\])[^@\s]+",
@@ -25,6 +32,7 @@ SHAPES = {
     "card": r"(?:[0-9][.\x20_/-]?){12,19}",
     "phone": r"\(?(?:[0-9][().\x20_/-]*){6,15}",
 }
+# A context is looked for this near first, and where its words reach farther in all there is.
 CONTEXT_CHARS = 80
 ROUNDS, SUPPORT, PRIOR, CONFIDENT = 3, 3, 1.0, 0.8
 
@@ -80,6 +88,15 @@ def _untouched(tokens: Column, spans: Column) -> Column:
     return F.when(F.size(spans) == 0, tokens).otherwise(_in_blocks(plain, free))
 
 
+def _near(side: Column, part: Column, words: int) -> Column:
+    """The `part` of what stands beside a match, if it holds so many words and the cut word is another; else all."""
+    return F.when((F.length(side) > CONTEXT_CHARS) & (F.size(_words(part)) <= words), side).otherwise(part)
+
+
+def _words(text: Column) -> Column:
+    return F.filter(F.split(text, r"\s+"), lambda w: w != "")
+
+
 def _found(text: Column, pattern: str, hint: str) -> Column:
     """array<struct<start, stop, value, left, right>> of all matches, left to right, in code points."""
 
@@ -93,8 +110,8 @@ def _found(text: Column, pattern: str, hint: str) -> Column:
                 z["start"].alias("start"),
                 (z["start"] + F.length(z["value"])).alias("stop"),
                 z["value"].alias("value"),
-                F.substring(z["left"], -CONTEXT_CHARS, CONTEXT_CHARS).alias("left"),
-                F.substring(z["right"], 1, CONTEXT_CHARS).alias("right"),
+                _near(z["left"], F.substring(z["left"], -CONTEXT_CHARS, CONTEXT_CHARS), 2).alias("left"),
+                _near(z["right"], F.substring(z["right"], 1, CONTEXT_CHARS), 1).alias("right"),
             ),
         )
 
@@ -127,8 +144,7 @@ def _valid(kind: str, value: Column) -> Column:
 
 def _contexts(span: Column) -> Column:
     """The lexical patterns around a span: the word before, the two before, the words before and after."""
-    before = F.filter(F.split(F.lower(span["left"]), r"\s+"), lambda w: w != "")
-    after = F.filter(F.split(F.lower(span["right"]), r"\s+"), lambda w: w != "")
+    before, after = _words(F.lower(span["left"])), _words(F.lower(span["right"]))
     one = F.when(F.size(before) > 0, F.concat(F.lit("1 "), F.element_at(before, -1)))
     two = F.when(F.size(before) > 1, F.concat(F.lit("2 "), F.array_join(F.slice(before, -2, 2), " ")))
     both = F.when((F.size(before) > 0) & (F.size(after) > 0), F.concat(F.lit("b "), F.element_at(before, -1), F.lit(" "), F.get(after, 0)))
@@ -136,25 +152,40 @@ def _contexts(span: Column) -> Column:
 
 
 def base_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, base, rest): checked matches by kind and start, and tokens with a digit that touch none."""
+    """(doc_id, key, base, rest): checked matches by kind and start, and candidates that touch none.
+
+    Addresses and groups of digits are candidates only in a kind's shape; what of a group has no shape by itself
+    is no token.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", F.xxhash64("text").alias("key"), text.alias("text"))
     rows = rows.select("doc_id", "key", *[_found(F.col("text"), PATTERNS[k], HINTS[k]).alias(k) for k in KINDS],
-                       _found(F.col("text"), _TOKEN, "[0-9]").alias("tokens"))
+                       *[_found(F.col("text"), p, CANDIDATE_HINTS[c]).alias(c) for c, p in CANDIDATES.items()])
 
     def checked(kind):
         good = F.filter(kind, lambda s: _valid(kind, s["value"]))
         return F.transform(good, lambda s: F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"), F.lower(s["value"]).alias("value"), _contexts(s).alias("contexts")))
 
-    rows = rows.select("doc_id", "key", F.concat(*[checked(k) for k in KINDS]).alias("base"), "tokens")
-    free = _untouched(F.col("tokens"), F.col("base"))
+    rows = rows.select("doc_id", "key", F.concat(*[checked(k) for k in KINDS]).alias("base"), *CANDIDATES)
 
     def trimmed(t):
         head = F.length(t["value"]) - F.length(F.regexp_replace(t["value"], "^[^A-Za-z0-9(]+", ""))
         value = F.regexp_replace(F.regexp_replace(t["value"], "^[^A-Za-z0-9(]+", ""), "[^A-Za-z0-9]+$", "")
         return F.struct((t["start"] + head).alias("start"), (t["start"] + head + F.length(value)).alias("stop"), F.lower(value).alias("value"), _contexts(t).alias("contexts"))
 
-    return rows.select("doc_id", "key", "base", F.filter(F.transform(free, trimmed), lambda t: t["value"] != "").alias("rest"))
+    def free(candidates: str) -> Column:
+        return F.filter(F.transform(_untouched(F.col(candidates), F.col("base")), trimmed), lambda t: t["value"] != "")
+
+    def shaped(spans: Column, *kinds: str) -> Column:
+        return F.filter(spans, lambda t: _has_shape(t["value"], kinds))
+
+    rows = rows.select("doc_id", "key", "base", free("tokens").alias("tokens"), shaped(free("addresses"), "email").alias("addresses"),
+                       shaped(free("groups"), "card", "phone").alias("groups"))
+    bare = F.filter("tokens", lambda t: ~_has_shape(t["value"], KINDS))
+    tokens = F.when(F.size("groups") == 0, F.col("tokens")).otherwise(
+        F.concat(shaped(F.col("tokens"), *KINDS), _untouched(bare, F.col("groups")))
+    )
+    return rows.select("doc_id", "key", "base", F.concat(tokens, "addresses", "groups").alias("rest"))
 
 
 def patterns(spans: DataFrame) -> DataFrame:
@@ -190,6 +221,10 @@ def patterns(spans: DataFrame) -> DataFrame:
     return scored.filter(F.col("confidence") >= CONFIDENT)
 
 
+def _has_shape(value: Column, kinds) -> Column:
+    return value.rlike("^(?:" + "|".join(SHAPES[k] for k in kinds) + ")$")
+
+
 def _shaped() -> Column:
     shape = F.lit(False)
     for kind in KINDS:
@@ -202,9 +237,10 @@ def personal_data(docs: DataFrame) -> DataFrame:
 
     The counts and base_sha256 are of the base matches: leftmost, non-overlapping per kind, checked (parts of an
     ip at most 255, Luhn, number of digits), failing ones dropped.  spans lists base and discovered spans as
-    kind:start:end by kind and start.  Discovered are tokens with a digit, of a kind's shape and touching no base match, in a
-    context of confidence CONFIDENT or more.  NULL and empty texts have none; repeated rows get the same;
-    other columns are ignored.  A context reaches CONTEXT_CHARS characters to either side.
+    kind:start:end by kind and start.  Discovered are words with a digit, words with @, (at) or [at], and groups of digits
+    apart by spaces, of a kind's shape and touching no base match, in a context of confidence CONFIDENT or more; of
+    those within another the longer stays.  NULL and empty texts have none; repeated rows get the same;
+    other columns are ignored.  A context reaches back to the candidate before, and on to the next.
     """
     spans = common.stored(base_spans(docs), "base-spans")
     good = patterns(spans)
@@ -212,6 +248,8 @@ def personal_data(docs: DataFrame) -> DataFrame:
     rest = rest.select("doc_id", "key", "t.start", "t.stop", "t.value", F.explode("t.contexts").alias("context"))
     found = rest.join(good, "context").filter(_shaped())
     found = found.groupBy("doc_id", "key", "start", "stop").agg(F.max(F.struct("confidence", "kind"))["kind"].alias("kind"))
+    wider = Window.partitionBy("doc_id", "key").orderBy("start", F.desc("stop")).rowsBetween(Window.unboundedPreceding, -1)
+    found = found.withColumn("reached", F.max("stop").over(wider)).filter("reached IS NULL OR reached < stop")
     found = found.groupBy("doc_id", "key").agg(F.collect_set(F.struct("kind", "start", "stop")).alias("found"))
     found = common.stored(found, "found-spans")
     both = spans.join(found, common.same(spans, found, "doc_id", "key"), "left").select(spans["doc_id"], "base", "found")
