@@ -372,8 +372,8 @@ def _folded(summaries: DataFrame, keys: list[str]) -> DataFrame:
     return summaries.groupBy(*keys, near.alias("_near")).applyInPandas(run, summaries.schema)
 
 
-def _stepped(summaries: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, _state, _steps): each series' state after a look."""
+def _stepped(summaries: DataFrame, keys: list[str], chunks: int) -> DataFrame:
+    """(keys, _state, _steps): each series' state after a look; none has more than `chunks`."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_chunk")
@@ -387,13 +387,15 @@ def _stepped(summaries: DataFrame, keys: list[str]) -> DataFrame:
             state = advance(np.asarray(before, float), products[2:, 2:, 0]).tolist()
         return pd.DataFrame([{k: pdf[k].iloc[0] for k in keys} | {"_state": state, "_steps": steps}])
 
-    return _folded(summaries, keys).groupBy(*keys).applyInPandas(run, _fit_fields(summaries, keys))
+    folded = _folded(summaries, keys) if chunks > FOLD else summaries
+    return folded.groupBy(*keys).applyInPandas(run, _fit_fields(summaries, keys))
 
 
 def _fits_by_chunk(chunks: DataFrame, keys: list[str], layout: Layout) -> DataFrame:
     """(keys, _state, _steps) for series of any length: a pass over the chunks per look, of those not yet done."""
     none = F.lit(None).cast("array<double>")
-    states = session.stored(_stepped(_summaries(chunks.withColumn("_state", none), keys), keys), "arima-states")
+    most = layout.largest // layout.chunk_rows + 1
+    states = session.stored(_stepped(_summaries(chunks.withColumn("_state", none), keys), keys, most), "arima-states")
     done = []
     for _ in range(EVALUATIONS):
         going = F.element_at("_state", -1) == 0
@@ -403,7 +405,7 @@ def _fits_by_chunk(chunks: DataFrame, keys: list[str], layout: Layout) -> DataFr
             break
         looking = layout.attach(chunks, left.select(*keys, "_state"), keys).filter("_state IS NOT NULL")
         # some numbers per series; stored, lest later looks repeat earlier ones
-        states = session.stored(_stepped(_summaries(looking, keys), keys), "arima-states")
+        states = session.stored(_stepped(_summaries(looking, keys), keys, most), "arima-states")
     else:
         done.append(states)
     return reduce(DataFrame.unionByName, done)
@@ -484,7 +486,7 @@ def arima_fit(df: DataFrame, column: str, scope: Scope = whole(), series: Series
     """
     s = scoped(df, series, scope)
     table, inner, finish = for_python(s.df, s.inner)
-    layout = plan_layout(table, inner)
+    layout = plan_layout(table, inner, session.python_rows(df.sparkSession))
     keys, steps = list(inner.keys), _steps(table, layout, column)
     if layout.single:
         fits = _fits_at_once(steps, keys)
@@ -505,7 +507,7 @@ def arima_residuals(df: DataFrame, column: str, series: Series = Series(),
 
     `fixed` gives (phi, theta) instead of fitting them.  Rows whose value is NULL or NaN are passed over.
     """
-    layout = layout or plan_layout(df, series)
+    layout = layout or plan_layout(df, series, session.python_rows(df.sparkSession))
     steps = _steps(df, layout, column)
     keys, order = list(series.keys), list(series.order)
     made = (
@@ -530,10 +532,12 @@ def arima(df: DataFrame, columns: Sequence[str], scope: Scope = whole(),
     if s.bounded and s.limit <= ARRAY_ROWS:
         return _short_scopes(s, columns, threshold, include_first)
     table, inner, finish = for_python(s.df, s.inner)
-    layout = plan_layout(table, inner)
+    layout = plan_layout(table, inner, session.python_rows(df.sparkSession))
     judged = Scoped(table, inner, inner.keys, counted=layout.counted)
     for c in columns:
         found = arima_residuals(table, c, inner, layout=layout)
+        if not layout.single:  # the spread and every later column would work them out again
+            found = session.stored(found, "arima-residuals")
         on = list(dict.fromkeys((*inner.keys, *inner.order)))
         rows = attach(judged.df, found, on, layout.rows, layout.broadcast_rows)
         if include_first:

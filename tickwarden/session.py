@@ -18,6 +18,10 @@ _MADE: dict[str, list[str]] = {}
 
 # Rows one task may hold when a series has to be read in order.
 DEFAULT_CHUNK_ROWS = 1_000_000
+# Rows of a series that one Python worker holds at a time, strings and copies among them.
+PYTHON_ROWS = 100_000
+# Rows that a task of a window over cut series should sort; more make more tasks.
+SORTED_ROWS = 200_000
 # Rows of a per-group statistics table that may be broadcast (a few dozen bytes each).
 DEFAULT_BROADCAST_ROWS = 200_000
 
@@ -48,6 +52,10 @@ def int_conf(spark: SparkSession, name: str, default: int) -> int:
     return int(spark.conf.get(name, str(default)))
 
 
+def python_rows(spark: SparkSession) -> int:
+    return min(PYTHON_ROWS, int_conf(spark, CHUNK_ROWS, DEFAULT_CHUNK_ROWS))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names; in local mode a new one where none is named."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SCRATCH, None)
