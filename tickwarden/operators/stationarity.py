@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickwarden import session
 from tickwarden.operators.series import Series, blocks, for_python, plan_layout
 
 # MacKinnon (1994) p-value surface and (2010) critical values, constant term,
@@ -109,7 +110,7 @@ def adf(df: DataFrame, column: str, series: Series = Series(), max_lag: int | No
     )
     longest = stats.agg(F.max("_n")).first()[0] or 0
     reach = default_max_lag(longest) if max_lag is None else max_lag
-    layout = plan_layout(rows, series)
+    layout = plan_layout(rows, series, session.python_rows(rows.sparkSession))
     slim = rows.select(*dict.fromkeys((*keys, *series.order)), F.col(column).alias("_v"))
     # a shift and a scale change neither the statistic nor the choice of lag
     scaled = layout.attach(slim, stats, keys).withColumn(
