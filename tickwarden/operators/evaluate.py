@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickwarden import session
 from tickwarden.functions.missing import number
 from tickwarden.operators.detectors import detect, flag_name
 from tickwarden.operators.scope import Scope, whole
@@ -119,9 +120,9 @@ def compare_methods(df: DataFrame, runs: Mapping[str, Mapping], truth: Mapping[s
     """Several detectors on the same rows: metrics per (method, column).
 
     `runs` maps a name to {"method": ..., other parameters}; `truth` maps each value column
-    to its label.
+    to its label.  The rows are stored first, as every detector reads them several times.
     """
-    parts = []
+    parts, df = [], session.stored(df, "compared-rows")
     for name, settings in runs.items():
         params = dict(settings)
         flagged = detect(

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickwarden import session
 from tickwarden.operators.quantiles import quantiles
 from tickwarden.operators.scope import Scope, Scoped, scoped, whole
 from tickwarden.operators.series import Series, attach, for_python, plan_layout
@@ -242,7 +243,9 @@ def iforest(df: DataFrame, columns: Sequence[str], scope: Scope = whole(),
     current = Scoped(table, inner, inner.keys).count()
     layout = plan_layout(table, inner, known=current.counted)
     share = [1.0 - contamination]
-    marked = scored(current, columns, series.ties, layout.chunk_rows, seed, trees, sample)
+    marked = scored(current, columns, series.ties, min(layout.chunk_rows, session.PYTHON_ROWS), seed, trees, sample)
+    if not layout.single:  # several passes for the quantiles
+        marked = session.stored(marked, "forest-scores")
     if layout.single:
         over = Window.partitionBy(*inner.keys)
         judged = marked.withColumns(
