@@ -12,11 +12,13 @@ table: summaries of 1, 2, 4, ... consecutive cells near the bounds.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from tickwarden import session
 from tickwarden.operators.series import Layout, Series, attach, buckets, plan_layout
 
 MICROS = 1_000_000
@@ -261,6 +263,13 @@ def _between(rows: DataFrame, columns: Sequence[str], layout: Layout, lengths: S
     return parts.groupBy(*pair).agg(*[_folded(F.collect_list(f"_s_{c}")).alias(f"_mid_{c}") for c in columns]), many
 
 
+def _dealt(df: DataFrame, cell: Sequence[str], rows: int) -> DataFrame:
+    """By cell, in as many tasks as `rows` need, so that what a task sorts does not grow with the table."""
+    tasks = math.ceil(rows / session.SORTED_ROWS)
+    usual = session.int_conf(df.sparkSession, "spark.sql.shuffle.partitions", 200)
+    return df.repartition(tasks, *cell) if tasks > usual else df
+
+
 def _sliced_stats(pieces: DataFrame, columns: Sequence[str], layout: Layout, lengths: Sequence[int],
                   ties: Sequence[str]) -> DataFrame:
     """`_all_<column>` where a series is cut: a row sums its head in its own cell and then asks for its tail.
@@ -270,14 +279,15 @@ def _sliced_stats(pieces: DataFrame, columns: Sequence[str], layout: Layout, len
     keys = [*layout.series.keys, "window_no"]
     cell = [*keys, "_f", "_g"]
     rows = placed(pieces, layout, lengths)
-    headed = _running(rows, columns, "_head_", cell, F.lit(True), _ahead(cell, ties))
+    many = layout.rows * len(lengths)
+    headed = _running(_dealt(rows, cell, many), columns, "_head_", cell, F.lit(True), _ahead(cell, ties))
     asking = headed.drop(*_helpers(columns)).withColumns(
         {"_own_f": F.col("_f"), "_f": F.col("_q"), "_g": F.col("_g") - 1, "_at": F.col("_t") - F.col("_w"), "_asks": F.lit(True)}
     )
     asked = rows.select(*cell, *_helpers(columns), F.col("_t").alias("_at"), F.lit(False).alias("_asks"))
     both = asked.unionByName(asking, allowMissingColumns=True)
     back = Window.partitionBy(*cell).orderBy(F.desc("_at"), "_asks").rowsBetween(Window.unboundedPreceding, 0)
-    tailed = _running(both, columns, "_tail_", cell, ~F.col("_asks"), back).filter("_asks")
+    tailed = _running(_dealt(both, cell, 2 * many), columns, "_tail_", cell, ~F.col("_asks"), back).filter("_asks")
     middle, many = _between(rows, columns, layout, lengths)
     whole = attach(tailed, middle, [*cell, "_own_f"], many, layout.broadcast_rows)
     whole = whole.withColumns(
