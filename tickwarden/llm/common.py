@@ -63,16 +63,20 @@ def links_in_tile(linked: np.ndarray, left: np.ndarray, right: np.ndarray) -> tu
 def placed_by(df: DataFrame, key: str) -> DataFrame:
     """A checkpoint that lies partitioned by `key`, so that later groupings by it move nothing.
 
-    Adaptive plans don't tell their partitioning, so the plan written here is a fixed one.
+    Adaptive plans don't tell their partitioning, so the plan written here is a fixed one.  Files of its exchanges go as soon as it
+    is written, not when the driver happens to collect its garbage.
     """
     spark = df.sparkSession
     session.checkpoint_dir(spark)
-    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    own = {"spark.sql.adaptive.enabled": "false", "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+    before = {name: spark.conf.get(name, None) for name in own}
     try:
+        for name, value in own.items():
+            spark.conf.set(name, value)
         return df.repartition(partitions(spark), key).checkpoint()
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def lowered(text: Column) -> Column:

@@ -5,9 +5,12 @@ from its parent's by enough for what it costs; next-symbol probabilities are smo
 position is scored by the longest kept suffix of what stands before it.
 
 The model grows with the corpus, so it is neither gathered nor broadcast.  Documents lie in chunks of a
-bounded number of tokens.  A chunk sends its distinct keys (52 bits of the hashes of
-words, word sequences or contexts) with its own sums; each key's total over the corpus comes back in the order asked.  Counting and looking
-up are thus one exchange, in which a key occurs at most once per chunk, however frequent it is.
+bounded number of tokens.  A chunk sends its distinct keys with its own sums; each key's total over the corpus comes
+back in the order asked.  Counting and looking up are thus one exchange, in which a key occurs at most once per chunk, however frequent it is.
+
+Words are asked for by 52 bits of their hashes.  With the totals come numbers for what later keys are made of: the corpus's
+symbols and contexts are numbered without gaps in the order of their keys, so a chunk's numbers travel as small steps, a context is
+a small number, and a pair or triple is the number of its context and that of its symbol.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from tickwarden.llm import common
 CHUNK_TOKENS = 2_000_000
 # Tokens of the corpus for each part of the key space.
 PART_TOKENS = 1 << 22
-# Bits of a hash that tell words and contexts apart, those of the part included.
+# Bits of a hash that tell words apart, those of the part included.
 KEY_BITS = 52
 # Occurrences in training of a context that may become a node, whatever the size of the corpus, and of a
 # symbol kept after it.
@@ -33,21 +36,20 @@ LEAST_CONTEXT, LEAST_SYMBOL = 12, 2
 # Gain in nats for each kept symbol, below which a node is not kept; share of a count given to the parent.
 COST, DISCOUNT = 2.0, 0.75
 END = xxhash.xxh64_intdigest(b"")
-_MIX = np.uint64(0x9E3779B97F4A7C15)
 WORDS, PAIRS, NODES1, TRIPLES, NODES2 = range(5)
-# How sums and answers of each kind travel: words count exactly, the rest to seven digits.
+# How a chunk's sums of each kind travel, and their totals: words count exactly, the rest to seven digits.
+OWN = (np.uint32, np.uint32, np.float32, np.uint32, np.float32)
 KIND = (np.float64, np.float32, np.float32, np.float32, np.float32)
 
 
-def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    x = (a ^ (a >> np.uint64(31))) * _MIX + b
-    x ^= x >> np.uint64(33)
-    return x * np.uint64(0xFF51AFD7ED558CCD)
+def _numbered_from(kind: int) -> tuple[int, ...]:
+    """Totals from which keys of a kind are numbered: words as symbols and as contexts, pairs as contexts."""
+    return {WORDS: (LEAST_SYMBOL, LEAST_CONTEXT), PAIRS: (LEAST_CONTEXT,)}.get(kind, ())
 
 
 def _pack(x: np.ndarray) -> bytes:
     """Bytes of one place after the other, compressed."""
-    return pa.compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes(), codec="zstd", asbytes=True)
+    return pa.compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes(), codec="zstd", asbytes=True)
 
 
 def _unpack(raw: bytes, n: int, kind) -> np.ndarray:
@@ -112,7 +114,10 @@ def chunks(docs: DataFrame) -> DataFrame:
 class Chunk:
     """One chunk with the totals that have come back so far."""
 
-    def __init__(self, row: dict, answers: dict[int, dict[int, bytes]], parts: int, n: float, v: float):
+    def __init__(
+        self, row: dict, answers: dict[int, dict[int, bytes]], parts: int, n: float, v: float, numbers: dict | None = None, symbols: int | None = None
+    ):
+        """numbers: steps between the numbers that have come back; without any, the chunk is all there is.  symbols: how many a part has at most."""
         self.sizes = np.frombuffer(row["sizes"], np.int64)
         self.ids = np.frombuffer(row["ids"], np.int64)
         self.named = np.frombuffer(row["named"], bool)
@@ -120,45 +125,76 @@ class Chunk:
         self.words = np.frombuffer(row["words"], np.uint64)
         self.codes = _unpack(row["codes"], int(self.sizes.sum()), np.uint32)
         self.answers, self.parts, self.n, self.v = answers, parts, n, v
+        self.numbers, self.symbols = numbers or {}, symbols or len(self.words)
+        # a key has its part in its first bits
+        self.rest = np.uint64(63 - (parts - 1).bit_length())
+        self.low = (np.uint64(1) << self.rest) - np.uint64(1)
         self.train = ~np.repeat(self.held_docs, self.sizes)
         self.starts = np.cumsum(self.sizes) - self.sizes
 
     def ask(self, kind: int, keys: np.ndarray, sums: list[np.ndarray]):
-        """Requests, a row for each part of the key space."""
-        order, cuts, high = self._dealt(keys)
+        """Requests of sorted keys, a row for each part of the key space."""
+        cuts, own = self._cuts(keys), keys & self.low
         for part, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
             if b > a:
-                own = order[a:b]
-                # the part has the low bits; the others travel as steps from key to key
-                steps = np.diff(high[a:b], prepend=np.uint64(0))
-                yield kind, part, b - a, _pack(steps), [_pack(s[own].astype(KIND[kind])) for s in sums]
-
-    def _dealt(self, keys):
-        """Places of the keys by part and then key, the parts' bounds, and the sorted keys' first bits, KEY_BITS with those of the part."""
-        rest = np.uint64(KEY_BITS - (self.parts - 1).bit_length())
-        low = keys & np.uint64(self.parts - 1)
-        both = low << rest | keys >> np.uint64(64) - rest
-        order = np.argsort(both)
-        both = both[order]
-        cuts = np.searchsorted(both >> rest, np.arange(self.parts + 1, dtype=np.uint64))
-        return order, cuts, both & (np.uint64(1) << rest) - np.uint64(1)
+                # keys travel as steps from key to key
+                steps = np.diff(own[a:b], prepend=np.uint64(0))
+                yield kind, part, b - a, _pack(steps), [_pack(s[a:b].astype(OWN[kind])) for s in sums]
+
+    def _cuts(self, keys):
+        return np.searchsorted(keys, np.arange(self.parts + 1, dtype=np.uint64) << self.rest)
 
     def totals(self, kind: int, keys: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(keys))
-        order, cuts, _ = self._dealt(keys)
+        out, cuts = np.zeros(len(keys)), self._cuts(keys)
         for part, raw in self.answers.get(kind, {}).items():
             a, b = cuts[part], cuts[part + 1]
-            out[order[a:b]] = _unpack(raw, b - a, KIND[kind])
+            out[a:b] = _unpack(raw, b - a, KIND[kind])
         return out
 
+    def numbered(self, kind: int, keys: np.ndarray, totals: np.ndarray) -> list[np.ndarray]:
+        """For each least total of the kind: keys that have it get their part and their number in it, others 0."""
+        cuts, told = self._cuts(keys), self.numbers.get(kind, {})
+        out = []
+        for i, least in enumerate(_numbered_from(kind)):
+            places = np.zeros(len(keys), np.uint64)
+            for part in range(self.parts):
+                own = np.flatnonzero(totals[cuts[part] : cuts[part + 1]] >= least) + cuts[part]
+                if len(own):
+                    steps = _unpack(told[part][i], len(own), np.uint32) if told else np.ones(len(own), np.uint32)
+                    places[own] = (np.uint64(part) << self.rest) + np.cumsum(steps, dtype=np.uint64) - np.uint64(1)
+            out.append(places)
+        return out
+
+    def _word_keys(self):
+        """Sorted keys of the chunk's words, and the words' places."""
+        part, bits = self.words & np.uint64(self.parts - 1), np.uint64(64 - KEY_BITS + (self.parts - 1).bit_length())
+        keys = part << self.rest | self.words >> bits
+        order = np.argsort(keys, kind="stable")
+        return keys[order], order
+
+    def _grams(self, contexts: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """Keys of symbols after contexts.  The parts of both are added up, so that neither gathers in one; the symbol's is the difference."""
+        context, symbol = contexts & self.low, self.symbol[codes]
+        parts, symbols, part = np.uint64(self.parts), np.uint64(self.symbols), contexts >> self.rest
+        if len(context) and (int(context.max()) + 1) * self.parts * self.symbols > 1 << int(self.rest):
+            raise OverflowError("the corpus has too many contexts and symbols for keys of 63 bits")
+        where = part + (symbol >> self.rest) & parts - np.uint64(1)
+        return where << self.rest | (context * parts + part) * symbols + (symbol & self.low)
+
     # each step gives what it asks, and keeps what later steps need
 
     def ask_words(self):
         often = np.bincount(self.codes[self.train], minlength=len(self.words))
-        yield from self.ask(WORDS, self.words, [often])
+        keys, order = self._word_keys()
+        yield from self.ask(WORDS, keys, [often[order]])
 
     def know_words(self):
-        self.count = self.totals(WORDS, self.words)
+        keys, order = self._word_keys()
+        totals = self.totals(WORDS, keys)
+        self.count = np.zeros(len(order))
+        self.count[order] = totals
+        self.symbol, context = np.zeros((2, len(order)), np.uint64)
+        self.symbol[order], context[order] = self.numbered(WORDS, keys, totals)
         self.p0 = (self.count + 1) / (self.n + self.v + 1)
         c = self.count[self.codes]
         at = np.arange(len(self.codes))
@@ -166,9 +202,9 @@ class Chunk:
         inner[self.starts] = False
         inner[1:] &= c[:-1] >= LEAST_CONTEXT
         self.at1 = np.flatnonzero(inner)
-        self.context1 = self.words[self.codes[self.at1 - 1]]
+        self.context1 = context[self.codes[self.at1 - 1]]
         self.seen1 = c[self.at1] >= LEAST_SYMBOL
-        self.gram1 = _mix(self.context1, self.words[self.codes[self.at1]])
+        self.gram1 = self._grams(self.context1[self.seen1], self.codes[self.at1[self.seen1]])
         self.total1 = np.zeros(len(self.at1))
         self.context_count1 = c[self.at1 - 1]
 
@@ -176,25 +212,23 @@ class Chunk:
         keys, place = np.unique(grams, return_inverse=True)
         yield from self.ask(kind, keys, [np.bincount(place, self.train[at], len(keys))])
 
-    def _gram_totals(self, kind, grams):
-        keys, place = np.unique(grams, return_inverse=True)
-        return self.totals(kind, keys)[place]
-
     def ask_pairs(self):
-        yield from self._ask_grams(PAIRS, self.gram1[self.seen1], self.at1[self.seen1])
+        yield from self._ask_grams(PAIRS, self.gram1, self.at1[self.seen1])
 
     def know_pairs(self):
-        self.total1[self.seen1] = self._gram_totals(PAIRS, self.gram1[self.seen1])
+        keys, place = np.unique(self.gram1, return_inverse=True)
+        totals = self.totals(PAIRS, keys)
+        self.total1[self.seen1] = totals[place]
         total = np.zeros(len(self.codes))
         total[self.at1] = self.total1
-        gram = np.zeros(len(self.codes), np.uint64)
-        gram[self.at1] = self.gram1
+        context = np.zeros(len(self.codes), np.uint64)
+        context[self.at1[self.seen1]] = self.numbered(PAIRS, keys, totals)[0][place]
         at = self.at1[self.at1 > 0]
         self.at2 = at[total[at - 1] >= LEAST_CONTEXT]
-        self.context2 = gram[self.at2 - 1]
+        self.context2 = context[self.at2 - 1]
         self.context_count2 = total[self.at2 - 1]
         self.seen2 = total[self.at2] >= LEAST_SYMBOL
-        self.gram2 = _mix(self.context2, self.words[self.codes[self.at2]])
+        self.gram2 = self._grams(self.context2[self.seen2], self.codes[self.at2[self.seen2]])
         self.total2 = np.zeros(len(self.at2))
 
     def _ask_nodes(self, kind, contexts, counts, totals, parent, at):
@@ -219,7 +253,7 @@ class Chunk:
         yield from self._ask_nodes(NODES1, self.context1, self.context_count1, self.total1, parent, self.at1)
 
     def ask_triples(self):
-        yield from self._ask_grams(TRIPLES, self.gram2[self.seen2], self.at2[self.seen2])
+        yield from self._ask_grams(TRIPLES, self.gram2, self.at2[self.seen2])
 
     def know_nodes1(self):
         self.p = self.p0[self.codes]
@@ -228,7 +262,8 @@ class Chunk:
             NODES1, self.context1, self.context_count1, self.total1, self.p[self.at1]
         )
         self.depth[self.at1[kept]] = 1
-        self.total2[self.seen2] = self._gram_totals(TRIPLES, self.gram2[self.seen2])
+        keys, place = np.unique(self.gram2, return_inverse=True)
+        self.total2[self.seen2] = self.totals(TRIPLES, keys)[place]
 
     def ask_nodes2(self):
         yield from self._ask_nodes(NODES2, self.context2, self.context_count2, self.total2, self.p[self.at2], self.at2)
@@ -266,7 +301,10 @@ def _requests(row_chunk: int, asked) -> pd.DataFrame:
 
 
 def _totals(asked: DataFrame) -> DataFrame:
-    """(chunk, kind, part, answer, sum, seen): what each key's sums over all chunks say, in the order asked."""
+    """(chunk, kind, part, answer, numbers, sum, seen, symbols): what each key's sums over all chunks say, in the order asked.
+
+    numbers: for each least total of the kind, steps between the numbers of the keys that have it.
+    """
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
         kind = int(rows["kind"].iat[0])
@@ -275,23 +313,30 @@ def _totals(asked: DataFrame) -> DataFrame:
         keys, place = np.unique(asked, return_inverse=True)
         columns = len(rows["sums"].iat[0])
         totals = [
-            np.bincount(place, np.concatenate([_unpack(s[c], k, KIND[kind]) for s, k in zip(rows["sums"], n)]), len(keys))
+            np.bincount(place, np.concatenate([_unpack(s[c], k, OWN[kind]) for s, k in zip(rows["sums"], n)]), len(keys))
             for c in range(columns)
         ]
         ends = np.cumsum(n)
         # of a context: the discounted mass of its kept symbols, or 0 if its gain is below its cost
-        told = (np.where(totals[0] >= 0, totals[1], 0) if columns == 2 else totals[0]).astype(KIND[kind])[place]
-        answers = [_pack(told[a:b]) for a, b in zip(ends - n, ends)]
+        told = (np.where(totals[0] >= 0, totals[1], 0) if columns == 2 else totals[0]).astype(KIND[kind])
+        counts = [told >= least for least in _numbered_from(kind)]
+        number = [np.cumsum(c) - 1 for c in counts]
+        answers, numbers = [], []
+        for a, b in zip(ends - n, ends):
+            own = place[a:b]
+            answers.append(_pack(told[own]))
+            numbers.append([_pack(np.diff(i[own[c[own]]], prepend=-1).astype(np.uint32)) for c, i in zip(counts, number)])
         first = np.arange(len(rows)) == 0
         return pd.DataFrame(
             {
-                "chunk": rows["chunk"], "kind": rows["kind"], "part": rows["part"], "answer": answers,
+                "chunk": rows["chunk"], "kind": rows["kind"], "part": rows["part"], "answer": answers, "numbers": numbers,
                 "sum": np.where(first, totals[0].sum(), 0.0), "seen": np.where(first, (totals[0] > 0).sum(), 0),
+                "symbols": np.where(first, (totals[0] >= LEAST_SYMBOL).sum(), 0),
             }
         )
 
     return asked.groupBy("kind", "part").applyInPandas(
-        add, "chunk long, kind int, part int, answer binary, sum double, seen long"
+        add, "chunk long, kind int, part int, answer binary, numbers array<binary>, sum double, seen long, symbols long"
     )
 
 
@@ -302,7 +347,7 @@ def score(docs: DataFrame, train: str, doc_id: str = "doc_id", text: str = "text
     ASCII white space, A-Z lowered, and an end.  base_score is the add-one unigram log10 probability, score
     the tree's.  NULL and blank texts are an end alone.  Other columns are ignored, repeated rows count
     each, an empty table gives no rows.  Without training rows every symbol has probability 1.
-    Words and contexts are told apart by 52 bits of their hashes, as keys travel without the rest: of n keys
+    Words are told apart by 52 bits of their hashes, as keys travel without the rest: of n words
     about n**2 / 2**53 pairs collide, and their counts are added.  Counts of pairs and triples come back to seven digits.
     `docs` must read the same each time (a stored table), as lost tasks are run again.
     """
@@ -320,10 +365,10 @@ def score(docs: DataFrame, train: str, doc_id: str = "doc_id", text: str = "text
             for row in frame.to_dict("records"):
                 yield _requests(row["chunk"], Chunk(row, {}, parts, 0, 0).ask_words())
 
-    answers = common.stored(_totals(made.mapInPandas(first, _ASKED)), "tree-words")
-    n, v = answers.agg(F.sum("sum"), F.sum("seen")).first()
+    # answers lie where their chunks do, so they move once
+    answers = common.placed_by(_totals(made.mapInPandas(first, _ASKED)), "chunk")
+    n, v, symbols = answers.agg(F.sum("sum"), F.sum("seen"), F.max("symbols")).first()
     n, v = n or 0, v or 0
-    answers = answers.select("chunk", "kind", "part", "answer")
 
     def step(known: list[str], ask: list[str]):
         """Chunks with their answers go through `known`, then ask for more, or are scored."""
@@ -331,9 +376,11 @@ def score(docs: DataFrame, train: str, doc_id: str = "doc_id", text: str = "text
         def run(own: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
             row = own.to_dict("records")[0]
             by: dict[int, dict[int, bytes]] = {}
-            for kind, part, raw in zip(got["kind"], got["part"], got["answer"]):
+            numbers: dict[int, dict[int, list[bytes]]] = {}
+            for kind, part, raw, steps in zip(got["kind"], got["part"], got["answer"], got["numbers"]):
                 by.setdefault(int(kind), {})[int(part)] = raw
-            chunk = Chunk(row, by, parts, n, v)
+                numbers.setdefault(int(kind), {})[int(part)] = steps
+            chunk = Chunk(row, by, parts, n, v, numbers, symbols)
             with np.errstate(over="ignore"):
                 for name in known:
                     getattr(chunk, name)()
@@ -349,8 +396,7 @@ def score(docs: DataFrame, train: str, doc_id: str = "doc_id", text: str = "text
 
     known = ["know_words"]
     for learn, ask in (("know_pairs", ["ask_pairs"]), ("know_nodes1", ["ask_nodes1", "ask_triples"]), (None, ["ask_nodes2"])):
-        more = common.stored(_totals(step(known, ask)), "tree-" + ask[0])
-        answers = answers.union(more.select("chunk", "kind", "part", "answer"))
+        answers = answers.union(common.placed_by(_totals(step(known, ask)), "chunk"))
         known = known + [learn] if learn else known
     return step(known, [])
 
