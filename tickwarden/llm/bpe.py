@@ -20,6 +20,8 @@ from tickwarden.llm import common
 BLOCK_BYTES = 10_000_000
 # Distinct words a task remembers.
 MEMORY_WORDS = 600_000
+# Pairs whose merges are looked up at a time, some 40 bytes each.
+PAIRS = 200_000
 # Fixed value: a pattern that cuts before every single space.
 SPACED = frozenset({r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"})
 SIGNS = frozenset(".,;:!?")
@@ -107,7 +109,8 @@ class MergeReplay:
                     heapq.heappush(waiting, rank)
 
         start = np.flatnonzero(after >= 0).astype(np.int32)
-        enter(start, self.merged(tokens[start], tokens[start + 1]))
+        parts = np.array_split(start, 1 + len(start) // PAIRS)
+        enter(start, np.concatenate([self.merged(tokens[p], tokens[p + 1]) for p in parts]))
         while waiting:
             rank = heapq.heappop(waiting)
             parts = index.pop(rank)
@@ -273,14 +276,20 @@ def encoder(ranks: dict[bytes, int], pattern: str, text: str, out: str):
 
         def coded(block):
             rows = pa.Table.from_batches(block).combine_chunks()
+            block.clear()
             numbers, counts = words.numbers(pc.fill_null(rows.column(text), "").combine_chunks())
             words.learn()
-            ids, sizes = words.of_word.take(numbers)
-            ends = np.concatenate([[0], np.cumsum(sizes)])
-            offsets = np.concatenate([[0], ends[np.cumsum(counts)]])
-            lists = pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), pa.array(ids, pa.int32()))
-            made = rows.append_column(out, lists.cast(pa.list_(pa.int32())))
-            yield from made.to_batches(common.BATCH_ROWS)
+            ends = np.concatenate([[0], np.cumsum(counts)])
+            first = 0
+            # ids are several times larger than their words' numbers, so only a batch of them is held
+            for batch in rows.to_batches(common.BATCH_ROWS):
+                cuts = ends[first : first + len(batch) + 1]
+                first += len(batch)
+                ids, sizes = words.of_word.take(numbers[cuts[0] : cuts[-1]])
+                offsets = np.concatenate([[0], np.cumsum(sizes)])[cuts - cuts[0]]
+                lists = pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), pa.array(ids, pa.int32()))
+                made = lists.cast(pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([*batch.columns, made], [*batch.schema.names, out])
 
         block, size = [], 0
         for batch in batches:
@@ -288,11 +297,14 @@ def encoder(ranks: dict[bytes, int], pattern: str, text: str, out: str):
             size += batch.column(text).nbytes
             if size >= BLOCK_BYTES:
                 yield from coded(block)
-                block, size = [], 0
+                size = 0
                 if len(words.words) > MEMORY_WORDS:
                     words.forget()
+                pa.default_memory_pool().release_unused()
         if block:
             yield from coded(block)
+        # the worker lives on, and its next task may be another's
+        pa.default_memory_pool().release_unused()
 
     return run
 

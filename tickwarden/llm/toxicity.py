@@ -16,8 +16,12 @@ BITS = 22
 SAMPLE_ROWS = 16_000
 PASSES = 5
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 8.0, 0.0
+# Hashes of words a worker remembers, some 200 bytes each.
+HASHES = 100_000
 # Endings vary, so words also count by how they begin.
 STEMS = (4, 5, 6)
+# Columns of the rows that are fitted, and of what they give.
+FITTED, MODEL = ["order", "doc", "toxic", "features"], ["feature", "weight"]
 # ASCII letters and digits (lowered) and all bytes of other characters make words.
 _WORDS = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256)
@@ -26,7 +30,7 @@ _WORDS = bytes(
 
 class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 2_000_000:
+        if len(self) >= HASHES:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word, 7)
         return value
@@ -47,11 +51,15 @@ def features(text: bytes | None, hashes: _Hashes) -> np.ndarray:
 
 
 def _fit(rows: pd.DataFrame) -> pd.DataFrame:
-    """Weights learnt by going through the rows PASSES times; -1 is the bias."""
+    """The model of the rows at hand, as `train` learns it from a table's: texts, labels, and their order."""
     rows = rows.sort_values(["order", "doc"], kind="stable")
     hashes = _Hashes()
     x = [np.unique(features(t, hashes)) for t in rows["text"].str.encode("utf-8")]
-    y = rows["toxic"].to_numpy(np.float64)
+    return pd.DataFrame(dict(zip(MODEL, _learnt(x, rows["toxic"].to_numpy(np.float64)))))
+
+
+def _learnt(x: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Features and weights learnt by going through the rows PASSES times; -1 is the bias."""
     z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
     bias = np.log((y.sum() + 1) / (len(y) - y.sum() + 2))
     bias_n, mixer = 0.0, np.random.default_rng(5)
@@ -68,7 +76,27 @@ def _fit(rows: pd.DataFrame) -> pd.DataFrame:
             bias -= ALPHA / (BETA + np.sqrt(bias_n)) * g
     used = np.flatnonzero(np.abs(z) > L1)
     w = (np.sign(z[used]) * L1 - z[used]) / ((BETA + np.sqrt(n[used])) / ALPHA + L2)
-    return pd.DataFrame({"feature": np.append(used, -1), "weight": np.append(w, bias)})
+    return np.append(used, -1), np.append(w, bias)
+
+
+def _featured(batches):
+    """Texts replaced by their distinct features, four bytes each."""
+    hashes = _Hashes()
+    for batch in batches:
+        texts = batch.column("text").cast(pa.binary()).to_pylist()
+        packed = pa.array([np.unique(features(t, hashes)).tobytes() for t in texts], pa.binary())
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in FITTED[:-1]), packed], FITTED)
+
+
+def _model(batches):
+    """The model of featured rows, which come in order; of all of them only features and labels are held."""
+    x, y = [], []
+    for batch in batches:
+        x += [np.frombuffer(f, np.int32) for f in batch.column("features").to_pylist()]
+        y += batch.column("toxic").to_pylist()
+    if x:
+        feature, weight = _learnt(x, np.array(y, np.float64))
+        yield pa.RecordBatch.from_arrays([pa.array(feature, pa.int64()), pa.array(weight, pa.float64())], MODEL)
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[np.ndarray, np.ndarray, float]:
@@ -86,9 +114,11 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     taken = usable.withColumn("order", order).filter(F.col("order") < int(share * (1 << 30)))
     # at most about sample_rows rows of 20 bytes
     rows = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(taken), "doc_id")
-    fitted = rows.select(F.lit(0).alias("all"), F.col("doc_id").alias("doc"), "order", "text", F.col("toxic").cast("int"))
-    found = fitted.groupBy("all").applyInPandas(_fit, "feature long, weight double").toPandas()
-    found = found.sort_values("feature")
+    fitted = rows.select("order", F.col("doc_id").alias("doc"), F.col("toxic").cast("int"), "text")
+    # texts become features where they lie; one task then goes through the rows, some 7 kB each, a batch at a time
+    fitted = fitted.mapInArrow(_featured, f"order long, doc {fitted.schema['doc'].dataType.simpleString()}, toxic int, features binary")
+    fitted = fitted.repartition(1).sortWithinPartitions(*FITTED)
+    found = fitted.mapInArrow(_model, "feature long, weight double").toPandas().sort_values("feature")
     if not len(found):
         return np.zeros(0, np.int32), np.zeros(0), float(np.log(0.5))
     return found["feature"].to_numpy(np.int32)[1:], found["weight"].to_numpy()[1:], float(found["weight"].iat[0])
