@@ -15,6 +15,7 @@ from tickwarden.llm.components import components
 SHINGLE, DISTANCE, HALF = 3, 3, 32
 # Entries of one table cell that are joined row by row; fuller cells are compared as tiles.
 CELL, TILE = 64, 1024
+FEW_CELLS = 20_000  # crowded cells that may be broadcast, 30 bytes each
 
 
 def fingerprints(docs: DataFrame, text: str = "text", out: str = "_fp", words: int = SHINGLE) -> DataFrame:
@@ -62,6 +63,9 @@ def links(prints: DataFrame, out: str = "_fp") -> DataFrame:
     fingerprint looks up its half and those with one more bit set (the partner has the other direction),
     and complete distances are verified.  Cells with many entries are cut into tiles whose links are
     reduced to a spanning set, so no group of copies is paired out.
+
+    A fingerprint makes some 34 lookups and two entries, but Spark takes exploded rows to be as many as before; so lookups
+    and entries are sorted and merged, never broadcast by such an estimate.
     """
     own = prints.select(F.col(out).alias("fp")).distinct()
     own = common.stored(own, "fingerprints")
@@ -71,14 +75,14 @@ def links(prints: DataFrame, out: str = "_fp") -> DataFrame:
     looks = entries.select(
         "fp", "part", F.explode(F.concat(F.array("cell"), _one_more_bit(F.col("cell")))).alias("cell"), F.col("cell").alias("home")
     )
-    found = looks.join(fuller, ["part", "cell"])
+    found = looks.hint("merge").join(fuller, ["part", "cell"])
     found = found.filter("home <> cell OR n > 1")
     found = common.stored(found, "lookups")
     entry = entries.withColumnRenamed("fp", "other")
     apart = F.bit_count(F.col("fp").bitwiseXOR(F.col("other")))
     few = (
         found.filter(F.col("n") <= CELL)
-        .join(entry, ["part", "cell"])
+        .join(entry.hint("merge"), ["part", "cell"])
         .filter((F.col("fp") != F.col("other")) & (apart <= DISTANCE))
         .select(F.col("fp").alias("a"), F.col("other").alias("b"))
     )
@@ -97,7 +101,8 @@ def _tiles(found: DataFrame, entry: DataFrame) -> DataFrame:
     looks = found.select("part", "cell", F.col("fp").alias("id"), "n")
     crowded = looks.groupBy("part", "cell").agg(F.count("*").alias("l"), F.first("n").alias("n"))
     across, down = F.ceil(F.col("l") / TILE), F.ceil(F.col("n") / TILE)
-    cut = crowded.select("part", "cell", across.cast("int").alias("across"), down.cast("int").alias("down"))
+    cut = common.stored(crowded.select("part", "cell", across.cast("int").alias("across"), down.cast("int").alias("down")), "crowded-cells")
+    cut = F.broadcast(cut) if cut.count() <= FEW_CELLS else cut.hint("merge")
 
     def dealt(df, mine, others, side):
         tile = F.pmod(F.xxhash64("id"), F.col(mine)).cast("int")
