@@ -2,7 +2,9 @@
 
 import random
 
+import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 
 from tickwarden.llm import common, simhash
 
@@ -29,3 +31,11 @@ def test_lookups_are_not_broadcast(spark, plans, monkeypatch):
     for plan in [*plans["lookups"], links._jdf.queryExecution().executedPlan().toString()]:
         assert "SortMergeJoin" in plan and "Broadcast" not in plan
     assert links.count() == 0
+
+
+def test_the_pipeline_does_not_broadcast_lookups(spark, plans):
+    rows = [(i, f"some words of document {i} that no other has {i * i}" if i % 3 else "the same words everywhere") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("source", F.lit("s"))
+    kept = corpus_pipeline.drop_near_copies(spark, docs, None)
+    assert "SortMergeJoin" in plans["lookups"][0] and "Broadcast" not in plans["lookups"][0]
+    assert [r["doc_id"] for r in kept.filter("doc_id % 3 = 0").collect()] == [0]
