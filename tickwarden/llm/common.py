@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import string
 
@@ -60,25 +61,31 @@ def links_in_tile(linked: np.ndarray, left: np.ndarray, right: np.ndarray) -> tu
     return ids[keep], ids[label[keep]]
 
 
-def placed_by(df: DataFrame, key: str) -> DataFrame:
-    """A checkpoint that lies partitioned by `key`, so that later groupings by it move nothing.
-
-    Adaptive plans don't tell their partitioning, so the plan written here is a fixed one.  Files of its exchanges go as soon as it
-    is written, not when the driver happens to collect its garbage.
-    """
-    spark = df.sparkSession
-    session.checkpoint_dir(spark)
-    own = {"spark.sql.adaptive.enabled": "false", "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+@contextlib.contextmanager
+def exchanges_deleted(spark: SparkSession, **conf: str):
+    """In here files of an exchange go as soon as its query has ended, not when the driver happens to collect its garbage."""
+    own = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"} | conf
     before = {name: spark.conf.get(name, None) for name in own}
     try:
         for name, value in own.items():
             spark.conf.set(name, value)
-        return df.repartition(partitions(spark), key).checkpoint()
+        yield
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
+def placed_by(df: DataFrame, key: str) -> DataFrame:
+    """A checkpoint that lies partitioned by `key`, so that later groupings by it move nothing.
+
+    Adaptive plans don't tell their partitioning, so the plan written here is a fixed one.
+    """
+    spark = df.sparkSession
+    session.checkpoint_dir(spark)
+    with exchanges_deleted(spark, **{"spark.sql.adaptive.enabled": "false"}):
+        return df.repartition(partitions(spark), key).checkpoint()
+
+
 def lowered(text: Column) -> Column:
     """A-Z in lower case, nothing else changed."""
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)

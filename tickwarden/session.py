@@ -77,10 +77,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def clear_scratch(spark: SparkSession) -> int:
-    """Delete what this application has put into scratch folders; results that still read them fail afterwards."""
-    gone = 0
-    for path in _MADE.pop(spark.sparkContext.applicationId, []):
+def discard(spark: SparkSession, *paths: str) -> int:
+    """Delete paths from `scratch_path` that nothing reads any more; the number of folders that were there."""
+    made, gone = _MADE.get(spark.sparkContext.applicationId, []), 0
+    for path in paths:
+        if path in made:
+            made.remove(path)
         store, own = fs.FileSystem.from_uri(path)
         if store.get_file_info(own).type == fs.FileType.Directory:
             store.delete_dir(own)
@@ -88,11 +90,20 @@ def clear_scratch(spark: SparkSession) -> int:
     return gone
 
 
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete what this application has put into scratch folders; results that still read them fail afterwards."""
+    return discard(spark, *_MADE.pop(spark.sparkContext.applicationId, []))
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write an intermediate table to the shared folder and read it back.
 
     For slim tables that several later passes read; it survives lost executors.
     """
-    path = scratch_path(df.sparkSession, label)
+    return stored_at(df, scratch_path(df.sparkSession, label))
+
+
+def stored_at(df: DataFrame, path: str) -> DataFrame:
+    """The same at a path from `scratch_path`, to be deleted by `discard`."""
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
